@@ -11,12 +11,17 @@ from pyspark.sql import types as T
 from sediment.functions.types import apply_types
 
 
+def trimmed(value: Column) -> Column:
+    """Text without white space, line ends included, at either end."""
+    return F.btrim(value, F.lit(" \t\r\n"))
+
+
 def is_blank(value: Column) -> Column:
-    return F.trim(value) == ""
+    return trimmed(value) == ""
 
 
 _RULES = {
-    "trim": F.trim,
+    "trim": trimmed,
     "blank_to_null": lambda value: F.when(~is_blank(value), value),
     "lower": F.lower,
     "upper": F.upper,

@@ -42,9 +42,11 @@ def hash_expression(df: DataFrame, columns: Sequence[str], strict: bool = False)
     which keeps all of these apart.
     """
     if strict:
-        return F.sha2(json_text(F.struct(*[F.col(f"`{name}`") for name in columns])), 256)
-    texts = [F.coalesce(_text(df.schema[name]), F.lit(NULL_TEXT)) for name in columns]
-    return F.sha2(F.concat_ws(SEPARATOR, *texts), 256)
+        body = json_text(F.struct(*[F.col(f"`{name}`") for name in columns]))
+    else:
+        body = F.concat_ws(SEPARATOR, *[F.coalesce(_text(df.schema[name]), F.lit(NULL_TEXT)) for name in columns])
+    # Never null; saying so spares joins on the hash a null filter that hashes again.
+    return F.coalesce(F.sha2(body, 256), F.lit(""))
 
 
 def add_row_hash(

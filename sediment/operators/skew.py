@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 
 from sediment.session import materialise
 
-# A key is hot when its rows exceed this many input splits (1 GiB by default) ...
-HOT_SPLITS = 8
+# A key is hot when its rows exceed this many input splits (half a GiB on disk by default) ...
+HOT_SPLITS = 4
 # ... or this share of the table, whichever is larger. At most 1 / share keys can each
 # hold that share, which bounds the list of hot keys by arithmetic.
-MIN_HOT_SHARE = 1e-4
+MIN_HOT_SHARE = 5e-5
+# Ranges that ordered rows of hot keys are cut into, at most.
+MAX_RANGES = 10_000
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30, "t": 2**40, "tb": 2**40}
 
@@ -65,24 +67,24 @@ def key_hash(keys: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
-    """Hash of each key with a large share of the rows, and how many parts to cut it into.
+    """Hash of each key with a large share of the rows, and how many parts its size fills.
 
     One pass over the key columns with a frequent-items sketch per task; no rows are
     shuffled. Null keys count as a key. The sketch may name a key that is not quite hot;
-    that only changes how its rows are processed. The parts of all keys together number
-    at most 1 / share, the key's own size setting its part count.
+    that only changes how its rows are processed.
     """
     if is_small(df):
         return {}
-    share = max(MIN_HOT_SHARE, HOT_SPLITS * split_bytes(df.sparkSession) / estimated_bytes(df))
+    parts = estimated_bytes(df) / (HOT_SPLITS * split_bytes(df.sparkSession))
+    share = max(MIN_HOT_SHARE, 1 / parts)
     most = int(1 / share) + 1
     names = ", ".join(f"`{key}`" for key in keys)
     probe = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(xxhash64({names}), {most}, {min(1_000_000, 10 * most + 1000)})").alias("top"),
+        F.expr(f"approx_top_k(xxhash64({names}), {most}, {4 * most + 1000})").alias("top"),
     ).first()
-    limit = share * probe["n"]
-    return {row["item"]: math.ceil(row["count"] / limit) for row in probe["top"] or [] if row["count"] >= limit}
+    found = {row["item"]: row["count"] / probe["n"] for row in probe["top"] or []}
+    return {item: max(2, math.ceil(held * parts)) for item, held in found.items() if held >= share}
 
 
 def lookup_join(
@@ -139,11 +141,12 @@ class Timeline:
         self.cut = bool(hot)
         self._df = df
         if self.cut:
-            in_hot = key_hash(keys).isin(list(hot))
+            names = ", ".join(f"`{key}`" for key in keys)
+            in_hot = F.expr(f"xxhash64({names}) IN ({', '.join(f'{item}L' for item in hot)})")
             # Written once: another evaluation could sample other range bounds.
             ranges = materialise(
                 df.where(in_hot)
-                .repartitionByRange(*self.keys, *self.order)
+                .repartitionByRange(min(MAX_RANGES, sum(hot.values())), *self.keys, *self.order)
                 .withColumn("_range", F.spark_partition_id()),
                 "ranges",
             )

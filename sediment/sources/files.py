@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,7 +122,17 @@ def read_staged(
     return with_staged_path(reader.format(file_type).load(f"{root.rstrip('/')}/{source}/{state}"))
 
 
-def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Zero-byte files, which no text reader ever reports."""
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Zero-byte files, of which no reader ever reports a row.
+
+    Spark's file listing, which the driver holds for any scan, names them; reading only
+    the lengths tells which files have content.
+    """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return listed.where("length = 0").select("path")
+    filled = {_plain(row.path) for row in listed.select("path").toLocalIterator()}
+    return sorted(name for name in listed.inputFiles() if _plain(name) not in filled)
+
+
+def _plain(uri: str) -> str:
+    """A file URI with one slash after the scheme, however many it was written with."""
+    return re.sub(r"^(\w+):/+", r"\1:/", uri)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sediment.functions.cleaning import is_blank
+from sediment.functions.cleaning import is_blank, trimmed
 
 logger = logging.getLogger(__name__)
 
@@ -35,7 +35,7 @@ def parse_payload(files: DataFrame, schema: T.StructType, shape: str = "any") ->
     """
     if shape not in ("any", "collection", "item"):
         raise ValueError(f"Unknown payload shape '{shape}'")
-    text = F.trim("value")
+    text = trimmed(F.col("value"))
     is_item = text.startswith("{")
     elements = F.when(is_item, F.array(text)).otherwise(F.from_json(text, "array<string>"))
     wrong = {"any": F.lit(False), "collection": is_item, "item": text.startswith("[")}[shape]
@@ -107,7 +107,7 @@ def item(df: DataFrame, item_id: object, id_column: str = "id") -> DataFrame:
 
 def field_names(files: DataFrame) -> list[str]:
     """Ordered field names of the first record of a list payload; only names reach the driver."""
-    elements = F.from_json(F.trim("value"), "array<string>")
+    elements = F.from_json("value", "array<string>")
     row = files.select(
         elements.isNotNull().alias("is_list"),
         F.json_object_keys(F.try_element_at(elements, F.lit(1))).alias("names"),
@@ -124,8 +124,8 @@ def field_drift(files: DataFrame, schema: T.StructType) -> DataFrame:
 
     Looks at every record, not only the first.
     """
-    trimmed = F.trim("value")
-    elements = F.when(trimmed.startswith("{"), F.array(trimmed)).otherwise(F.from_json(trimmed, "array<string>"))
+    text = trimmed(F.col("value"))
+    elements = F.when(text.startswith("{"), F.array(text)).otherwise(F.from_json(text, "array<string>"))
     names = files.select(F.explode(elements).alias("element")).select(
         F.explode(F.json_object_keys("element")).alias("field")
     )
