@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +14,6 @@ STAGED = "00_staged_files"
 LOADED = "01_loaded_files"
 ERRORED = "00_errored_files"
 
-# <source>/<state>/Y/M/D/<source>_Y_M_D_h_m_s.<ext>; a landed "file" may be a folder of parts.
-_STAGED_PATH = (
-    rf"([^/]+)/({STAGED}|{LOADED}|{ERRORED})/\d{{4}}/\d{{1,2}}/\d{{1,2}}/"
-    r"[^/]+_(\d{4}_\d{1,2}_\d{1,2}_\d{1,2}_\d{1,2}_\d{1,2})\.(\w+)"
-)
-
 
 def check_file_type(file_type: str) -> str:
     if file_type not in FILE_TYPES:
@@ -92,16 +85,22 @@ def staged_path(root: str, source: str, at: datetime, file_type: str, state: str
     return f"{root.rstrip('/')}/{source}/{state}/{day}/{source}_{stamp}.{file_type}"
 
 
-def with_staged_path(df: DataFrame, path: str = "_metadata.file_path") -> DataFrame:
-    """Add source, state and load time as the file's place in the staged tree tells them."""
+def with_staged_path(df: DataFrame, state: str = STAGED, path: str = "_metadata.file_path") -> DataFrame:
+    """Add source, state and load time as the file's place in the staged tree tells them.
+
+    The path is ``<source>/<state>/Y/M/D/<source>_Y_M_D_h_m_s.<ext>``, a landed file being
+    a folder of parts. Plain cuts, not patterns: the path is looked at once per row.
+    """
     file_path = F.col(path)
+    source = F.substring_index(F.substring_index(file_path, f"/{state}/", 1), "/", -1)
+    below = F.substring_index(file_path, f"/{state}/", -1)
+    name = F.substring_index(F.substring_index(below, "/", 4), "/", -1)
+    stamp = F.substring_index(F.substring_index(name, "_", -6), ".", 1)
     return df.withColumns(
         {
-            "staged_source": F.regexp_extract(file_path, _STAGED_PATH, 1),
-            "staged_state": F.regexp_extract(file_path, _STAGED_PATH, 2),
-            "staged_at": F.try_to_timestamp(
-                F.regexp_extract(file_path, _STAGED_PATH, 3), F.lit("yyyy_M_d_H_m_s")
-            ).cast("timestamp_ntz"),
+            "staged_source": source,
+            "staged_state": F.lit(state),
+            "staged_at": F.try_to_timestamp(stamp, F.lit("yyyy_M_d_H_m_s")).cast("timestamp_ntz"),
         }
     )
 
@@ -119,20 +118,16 @@ def read_staged(
     reader = spark.read.option("recursiveFileLookup", True).options(**format_options(file_type, lines))
     if schema is not None:
         reader = reader.schema(schema)
-    return with_staged_path(reader.format(file_type).load(f"{root.rstrip('/')}/{source}/{state}"))
+    return with_staged_path(reader.format(file_type).load(f"{root.rstrip('/')}/{source}/{state}"), state)
 
 
-def empty_files(spark: SparkSession, path: str) -> list[str]:
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
     """Zero-byte files, of which no reader ever reports a row.
 
-    Spark's file listing, which the driver holds for any scan, names them; reading only
-    the lengths tells which files have content.
+    Spark's own file listing names them; the files that do give a row are taken off.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    filled = {_plain(row.path) for row in listed.select("path").toLocalIterator()}
-    return sorted(name for name in listed.inputFiles() if _plain(name) not in filled)
-
-
-def _plain(uri: str) -> str:
-    """A file URI with one slash after the scheme, however many it was written with."""
-    return re.sub(r"^(\w+):/+", r"\1:/", uri)
+    filled = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    listed = spark.createDataFrame([(name,) for name in filled.inputFiles()], "path string")
+    # A URI may have one slash after its scheme or three.
+    plain = F.regexp_replace("path", r"^(\w+):/+", "$1:/").alias("path")
+    return listed.select(plain).join(filled.select(plain), "path", "left_anti")

@@ -173,7 +173,7 @@ def test_payload_outcomes(spark, landed):
     }
     errored = payload.errored_records(parsed).collect()
     assert {r.element for r in errored} == {'{"id":"zz","title":"a"}', '[{"id":1},'}
-    assert [name.split("/")[-1] for name in files.empty_files(spark, landed)] == ["zero.json"]
+    assert [r.path.split("/")[-1] for r in files.empty_files(spark, landed).collect()] == ["zero.json"]
 
 
 def test_payload_shapes(spark, landed, caplog):
