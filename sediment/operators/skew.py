@@ -20,6 +20,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sediment.session import materialise
 
@@ -51,6 +52,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables a plan reads; one whose size Spark does not know counts nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < 2**60)
+
+
 def is_small(df: DataFrame) -> bool:
     """True when the whole frame is too small to contain a hot key."""
     return estimated_bytes(df) <= HOT_SPLITS * split_bytes(df.sparkSession)
@@ -66,23 +74,36 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{key}`") for key in keys])
 
 
+def _row_bytes(dtype: T.DataType) -> int:
+    """Rough width of a value, by type alone."""
+    if isinstance(dtype, T.StructType):
+        return sum(_row_bytes(field.dataType) for field in dtype.fields)
+    if isinstance(dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    return 32
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
     """Hash of each key with a large share of the rows, and how many parts its size fills.
 
     One pass over the key columns with a frequent-items sketch per task; no rows are
     shuffled. Null keys count as a key. The sketch may name a key that is not quite hot;
-    that only changes how its rows are processed.
+    that only changes how its rows are processed. The plan's estimate is an upper bound
+    that joins inflate, so the rows counted and the tables read limit it.
     """
     if is_small(df):
         return {}
-    parts = estimated_bytes(df) / (HOT_SPLITS * split_bytes(df.sparkSession))
-    share = max(MIN_HOT_SHARE, 1 / parts)
-    most = int(1 / share) + 1
+    part = HOT_SPLITS * split_bytes(df.sparkSession)
+    most = int(1 / max(MIN_HOT_SHARE, part / estimated_bytes(df))) + 1
     names = ", ".join(f"`{key}`" for key in keys)
     probe = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_top_k(xxhash64({names}), {most}, {4 * most + 1000})").alias("top"),
     ).first()
+    parts = min(estimated_bytes(df), max(input_bytes(df), probe["n"] * _row_bytes(df.schema))) / part
+    if parts <= 1:
+        return {}
+    share = max(MIN_HOT_SHARE, 1 / parts)
     found = {row["item"]: row["count"] / probe["n"] for row in probe["top"] or []}
     return {item: max(2, math.ceil(held * parts)) for item, held in found.items() if held >= share}
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sediment.functions.lineage import add_metadata, batch_time
 from sediment.operators.history import comparable_columns, merge_type1, merge_type2, open_history
@@ -15,7 +16,7 @@ from sediment.operators.keys import surrogate_keys
 from sediment.operators.model import aggregate, dimension, fact
 from sediment.operators.quality import ForeignKey, PrimaryKey, enforce_keys
 from sediment.sinks.tables import BATCH, batches, load_table, replace_table, write_batch
-from sediment.sources.control import Source
+from sediment.sources.control import Source, control_frame
 from sediment.sources.files import FILE_TYPES, read_files
 from sediment.sources.tables import read_database_table, read_table
 
@@ -50,10 +51,19 @@ def transform(
     return df.transform(step, source, **options) if step else df
 
 
-def extract_source(spark: SparkSession, source: Source) -> DataFrame:
-    """The data a control row points to: a file, a catalog table, or ``url;table``."""
+def create_control_table(spark: SparkSession, table: str, definitions: Iterable[Mapping[str, object]]) -> DataFrame:
+    """Check the control rows, store them and return the stored table."""
+    replace_table(control_frame(spark, definitions), table)
+    return read_table(spark, table)
+
+
+def extract_source(spark: SparkSession, source: Source, schema: T.StructType | str | None = None) -> DataFrame:
+    """The data a control row points to: a file, a catalog table, or ``url;table``.
+
+    Files of csv or json are read by lines, so that large ones are read in parallel.
+    """
     if source.source_type in FILE_TYPES:
-        return read_files(spark, source.connection, source.source_type)
+        return read_files(spark, source.connection, source.source_type, schema, lines=True)
     if source.source_type == "database":
         url, _, table = source.connection.rpartition(";")
         return read_database_table(spark, table, url)
@@ -71,6 +81,7 @@ class Warehouse:
     batch_id: int
     at: datetime
     transforms: Mapping[str, Transform] = field(default_factory=dict)
+    schemas: Mapping[str, T.StructType | str] = field(default_factory=dict)
 
     def stage(self, source: Source, data: DataFrame) -> DataFrame:
         """Recreate the staging table of a source."""
@@ -167,7 +178,9 @@ class Warehouse:
         staged: dict[str, DataFrame] = {}
         for source in plan:
             extracted = (data or {}).get(source.source_name)
-            rows = self.stage(source, extract_source(self.spark, source) if extracted is None else extracted)
+            if extracted is None:
+                extracted = extract_source(self.spark, source, self.schemas.get(source.source_name))
+            rows = self.stage(source, extracted)
             if source.source_name in fact_sources:
                 staged[source.source_name] = transform(rows, source.source_name, source, self.transforms)
                 continue

@@ -11,7 +11,8 @@ from sediment.functions.lineage import add_metadata, batch_time
 from sediment.functions.types import table_types
 from sediment.operators import history, keys, quality
 from sediment.plans.medallion import Medallion
-from sediment.plans.warehouse import Fact, Warehouse
+from sediment.plans.warehouse import Fact, Warehouse, create_control_table
+from sediment.session import scratch_path
 from sediment.sinks import tables as sinks
 from sediment.sources import control
 from sediment.sources.tables import list_tables, read_table, table_exists
@@ -28,7 +29,7 @@ def people(spark, *values):
 
 
 def test_versions_neither_overlap_nor_leave_gaps(tables):
-    found = history.versions(tables("events"), "user_id", ["ts", "event_id"], ["event_type"]).cache()
+    found = history.versions(tables("events"), "user_id", ["ts", "event_id"], ["event_type"])
     current = found.where("is_current").groupBy("user_id").count().where("count <> 1")
     assert current.isEmpty()
     ends = found.where("valid_to IS NOT NULL").select("user_id", F.col("valid_to").alias("valid_from"))
@@ -180,6 +181,26 @@ def test_warehouse_history_replays_and_prunes(spark):
     ]
 
 
+def test_control_table_drives_the_run(spark, sf_dir, tables):
+    entry = source(name("customer"))
+    text = scratch_path(spark, "source")
+    tables("customer").write.csv(text, header=True)
+    row = {
+        "Source_Type": "csv",
+        "Source_Name": entry.source_name,
+        "Connection": text,
+        "Primary Key": "c_custkey",
+        "Load Type": "Full",
+        "SCD Type": "2",
+    }
+    stored = create_control_table(spark, f"staging.{name('control')}", [row])
+    plan = control.load_plan(stored)
+    run = Warehouse(spark, 1, DAYS[0], schemas={entry.source_name: tables("customer").schema})
+    found = run.run(plan)[entry.source_name]
+    assert found.count() == tables("customer").count()
+    assert found.columns[:2] == ["surrogate_key", "c_custkey"]
+
+
 def test_warehouse_type1_and_delta(spark):
     entry = source(name("people"), 1, "Delta")
     Warehouse(spark, 1, DAYS[0]).run([entry], data={entry.source_name: people(spark, (1, "a", "x"), (2, "b", "x"))})
