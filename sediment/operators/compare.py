@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,11 +47,12 @@ def _stand_in(dtype: T.DataType) -> Column:
     raise TypeError(f"a {dtype.simpleString()} column cannot be a business key")
 
 
-class KeyPairs:
+class NullSafeKeys:
     """Business keys as plain join columns in which null equals null.
 
-    Each key becomes its value with null replaced, and a null flag. Both the uniqueness
-    check and the join run on these columns and so share one shuffle.
+    Each key becomes its value with null replaced, and one more column has a bit set for
+    each key that was null. The uniqueness check and the join both run on these columns
+    and so share one shuffle.
     """
 
     def __init__(self, current: DataFrame, new: DataFrame, keys: Sequence[str]):
@@ -63,18 +65,17 @@ class KeyPairs:
                     raise TypeError(f"business key '{key}' is {left.simpleString()} and {right.simpleString()}")
                 left = T.LongType()
             self.types.append(left)
-        self.columns = [f"_{part}{i}" for i in range(len(self.keys)) for part in ("key", "null")]
+        self.columns = [*[f"_key{i}" for i in range(len(self.keys))], "_nulls"]
 
     def add(self, df: DataFrame) -> DataFrame:
-        pairs = {}
-        for i, (key, dtype) in enumerate(zip(self.keys, self.types)):
-            value = F.col(f"`{key}`").cast(dtype)
-            pairs[f"_key{i}"] = F.coalesce(value, _stand_in(dtype))
-            pairs[f"_null{i}"] = value.isNull()
-        return df.withColumns(pairs)
+        values = [F.col(f"`{key}`").cast(dtype) for key, dtype in zip(self.keys, self.types)]
+        added = {f"_key{i}": F.coalesce(v, _stand_in(t)) for i, (v, t) in enumerate(zip(values, self.types))}
+        bits = [F.when(v.isNull(), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0)) for i, v in enumerate(values)]
+        return df.withColumns({**added, "_nulls": reduce(lambda a, b: a + b, bits)})
 
     def restored(self) -> list[Column]:
-        return [F.when(~F.col(f"_null{i}"), F.col(f"_key{i}")).alias(key) for i, key in enumerate(self.keys)]
+        was_null = [F.col("_nulls").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0 for i in range(len(self.keys))]
+        return [F.when(~gone, F.col(f"_key{i}")).alias(self.keys[i]) for i, gone in enumerate(was_null)]
 
 
 def require_unique(df: DataFrame, columns: Sequence[str], message: str) -> DataFrame:
@@ -110,7 +111,7 @@ def match_snapshots(
     frames = {"current": current, "new": new}
     require_columns(frames, [hash_column], "hash column")
     require_columns(frames, keys, "business key columns")
-    pairs = KeyPairs(current, new, keys)
+    pairs = NullSafeKeys(current, new, keys)
 
     def side(label: str, columns: Sequence[str], prefix: str) -> DataFrame:
         df = pairs.add(frames[label])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.operators.compare import KeyPairs, as_list
+from sediment.operators.compare import NullSafeKeys, as_list
 from sediment.session import materialise
 
 UNKNOWN_MEMBER = -1
@@ -22,7 +22,7 @@ def unseen_keys(history: DataFrame, known: DataFrame | None, keys: str | Sequenc
     wanted = history.select(*keys).distinct()
     if known is None:
         return wanted
-    pairs = KeyPairs(known, wanted, keys)
+    pairs = NullSafeKeys(known, wanted, keys)
     return (
         pairs.add(wanted)
         .join(pairs.add(known.select(*keys)).select(*pairs.columns), pairs.columns, "left_anti")
