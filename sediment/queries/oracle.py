@@ -108,7 +108,7 @@ where c.hit is null or n.hit is null or c.h <> n.h""",
     "gold_aggregate": f"""{SILVER} select o_orderstatus, count(*) as n_orders, {MONEY} as revenue,
   max(o_orderdate) as last_order, count(distinct o_custkey) as n_customers from latest group by o_orderstatus""",
     "medallion_run": f"""{DIFF}
-select 'silver' as layer, 1 as batch_id, 'new' as status, count(*) as n from orders
+select 'silver' as layer, cast(1 as bigint) as batch_id, 'new' as status, count(*) as n from orders
 union all select 'silver', 2, status, count(*) from diff where status <> 'unchanged' group by status
 union all select 'gold', 0, 'live', count(*) from diff where status <> 'deleted'""",
     "latest_version": """select * exclude (r) from (
