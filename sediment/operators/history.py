@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sediment.functions.hashing import HASH_COLUMN, add_row_hash
 from sediment.functions.lineage import LINEAGE_COLUMNS
-from sediment.operators.compare import CHANGED, DELETED, NEW, UNCHANGED, as_list, match_snapshots
+from sediment.operators.compare import CHANGED, DELETED, NEW, as_list, match_snapshots
 from sediment.operators.skew import Timeline
 
 # Columns a history table adds to the data.
