@@ -7,9 +7,10 @@ the product over its words. The piece probabilities are learned by expectation
 maximisation, which takes expected piece counts from a forward and a backward pass over
 the distinct words of each language.
 
-Pieces never span words: a word is a blank and the characters up to the next white space,
-and one of more than ``LONGEST`` bytes counts as several. The 256 single bytes are pieces,
-so every text has a probability.
+Texts count in lower case, so that shouting is still a language. Pieces never span words: a
+word is a blank and the characters up to the next white space, and one of more than
+``LONGEST`` characters counts as several. The 256 single bytes are pieces, so every text
+has a probability.
 """
 
 from __future__ import annotations
@@ -31,14 +32,14 @@ from sediment.session import materialise
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Rounds of expectation maximisation, starting from equal probabilities.
 ROUNDS = 3
-#: Bytes after which a word is cut.
-LONGEST = 256
+#: Characters after which a word is cut.
+LONGEST = 64
 #: Added to every expected count.
 SMOOTH = 0.05
-#: Bytes of text looked at together.
-BATCH = 4 << 20
-#: Words scored together.
-WORDS = 1 << 15
+#: Bytes of text looked at together, words of one pass, and words of one step of learning.
+BATCH, WORDS, LEARN_WORDS = 12 << 20, 1 << 15, 1 << 18
+#: Words are padded to a multiple of this, so that few lengths differ.
+PAD = 4
 UNDETERMINED = "und"
 #: A document is rejected below this probability of its best language.
 LEAST_SCORE = 0.5
@@ -70,7 +71,9 @@ class Pieces:
             raise ValueError("two pieces share a hash")
         self.seen = np.zeros(1 << _SEEN_BITS, dtype=bool)
         self.seen[self._slot(self.hashes)] = True
-        self.powers = np.cumprod(np.concatenate(([1], np.full(LONGEST + 1, _BASE, dtype=np.uint64))), dtype=np.uint64)
+        factors = np.full(4 * LONGEST + PAD + 2, _BASE)
+        factors[0] = 1
+        self.powers = np.cumprod(factors)
 
     @staticmethod
     def _hash(piece: bytes) -> int:
@@ -110,24 +113,27 @@ def pieces_of(path: str) -> Pieces:
     return _pieces[path]
 
 
-def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Numbers of words of one length, and their bytes after a blank."""
-    lengths = np.array([len(w) for w in words], dtype=np.int64)
-    order = np.argsort(lengths, kind="stable")
-    cuts = np.flatnonzero(np.diff(lengths[order], prepend=-1))
+def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers of words of similar length, their bytes after a blank, padded, and their lengths so."""
+    lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+    padded = -(-lengths // PAD) * PAD
+    order = np.argsort(padded, kind="stable")
+    cuts = np.flatnonzero(np.diff(padded[order], prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(words)], strict=True):
-        step = max(1, min(WORDS, (WORDS * 16) // max(1, int(lengths[order[a]]))))
+        width = int(padded[order[a]])
+        step = max(1, min(WORDS, WORDS * 16 // width))
         for at in range(a, b, step):
             rows = order[at : min(b, at + step)]
-            data = np.frombuffer(b"".join(b" " + words[i] for i in rows), dtype=np.uint8)
-            yield rows, data.reshape(len(rows), -1)
+            data = np.frombuffer(b"".join((b" " + words[i]).ljust(width, b"\0") for i in rows), dtype=np.uint8)
+            yield rows, data.reshape(len(rows), width), lengths[rows]
 
 
 def forward(pieces: Pieces, words: np.ndarray, table: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, list]:
     """Forward sums at each place, scaled; the logs of the scales; the pieces found.
 
     ``table`` is (pieces, languages); the sums are (words, languages). Sums of a word are
-    scaled together whenever the newest is small, so long words don't vanish.
+    scaled together whenever the newest is small, so long words don't vanish. A padded
+    word's own sum is at its length; what follows it means nothing.
     """
     hashes = pieces.prefixes(words)
     count, length = words.shape
@@ -155,56 +161,74 @@ def forward(pieces: Pieces, words: np.ndarray, table: np.ndarray) -> tuple[list[
 def word_logs(pieces: Pieces, words: list[bytes], table: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language."""
     out = np.zeros((len(words), table.shape[1]))
-    for rows, data in by_length(words):
+    for rows, data, lengths in by_length(words):
         sums, scale, _ = forward(pieces, data, table)
-        out[rows] = np.log(np.maximum(sums[-1], 1e-300)) + scale
+        for length in np.unique(lengths):
+            own = lengths == length
+            out[rows[own]] = np.log(np.maximum(sums[length][own], 1e-300)) + scale[own]
     return out
 
 
 def expected(pieces: Pieces, words: list[bytes], counts: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations, for one language; table is (pieces, 1)."""
     total = np.zeros(len(pieces.pieces))
-    for rows, data in by_length(words):
-        count, length = data.shape
-        if length > 64:  # rare, and their sums need scaling: cut them for learning
-            parts = [bytes(w[1:][at : at + 62]) for w in data for at in range(0, length - 1, 62)]
-            times = np.repeat(counts[rows], -(-(length - 1) // 62))
+    for rows, data, lengths in by_length(words):
+        count, width = data.shape
+        if width > 64:  # rare, and their sums would need scaling: cut them for learning
+            parts = [words[i][at : at + 60] for i in rows for at in range(0, len(words[i]), 60)]
+            times = np.repeat(counts[rows], -(-(lengths - 1) // 60))
             total += expected(pieces, parts, times, table)
             continue
-        sums, scale, found = forward(pieces, data, np.maximum(table, 1e-12))
-        # Without scales the backward sums match; words of up to 64 bytes fit a double.
-        if scale.any():
-            sums = _plain(found, count, length, table)
-        back = [np.zeros((count, 1)) for _ in range(length + 1)]
-        back[length][:] = 1.0
-        for start, stop, r, ids in sorted(found, key=lambda x: -x[1]):
-            back[start][r] += back[stop][r] * table[ids]
-        whole = np.maximum(sums[length], 1e-300)
-        weight = counts[rows][:, None] / whole
-        for start, stop, r, ids in found:
-            total += np.bincount(ids, (sums[start][r] * table[ids] * back[stop][r] * weight[r])[:, 0], len(total))
+        _, _, found = forward(pieces, data, table)
+        sums = _plain(found, count, width, table)
+        back = [np.zeros(count) for _ in range(width + 1)]
+        whole = np.zeros(count)
+        for length in np.unique(lengths):
+            own = lengths == length
+            back[length][own] = 1.0
+            whole[own] = sums[length][own]
+        weight = counts[rows] / np.maximum(whole, 1e-300)
+        for start, stop, r, ids in reversed(found):
+            chance = back[stop][r] * table[ids, 0]
+            back[start][r] += chance
+            total += np.bincount(ids, sums[start][r] * chance * weight[r], len(total))
     return total
 
 
 def _plain(found: list, count: int, length: int, table: np.ndarray) -> list[np.ndarray]:
-    sums = [np.zeros((count, 1)) for _ in range(length + 1)]
+    """Forward sums without scales; a double holds them for words of up to 64 bytes."""
+    sums = [np.zeros(count) for _ in range(length + 1)]
     sums[0][:] = 1.0
     for start, stop, r, ids in found:
-        sums[stop][r] += sums[start][r] * table[ids]
+        sums[stop][r] += sums[start][r] * table[ids, 0]
     return sums
 
 
 def distinct_words(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct words of some texts; for every word of the texts its number and its text's."""
     words, owner = [], []
-    for i, text in enumerate(texts):
-        own = (text or b"").split()
-        if any(len(w) > LONGEST for w in own):
+    for text in texts:
+        own = (text or b"").decode("utf-8", "replace").lower().split()
+        if own and len(max(own, key=len)) > LONGEST:
             own = [w[at : at + LONGEST] for w in own for at in range(0, len(w), LONGEST)]
         words += own
         owner.append(len(own))
-    coded = pa.array(words, pa.binary()).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.repeat(np.arange(len(texts)), owner)
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    distinct = [w.encode() for w in coded.dictionary.to_pylist()]
+    return distinct, coded.indices.to_numpy(), np.repeat(np.arange(len(texts)), owner)
+
+
+def joined(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches put together to tables of at least so many rows, but for the last."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield pa.Table.from_batches(held)
+            held, count = [], 0
+    if count:
+        yield pa.Table.from_batches(held)
 
 
 @dataclass
@@ -284,12 +308,12 @@ def learn(
     for _ in range(rounds if languages else 0):
         shared = spark.sparkContext.broadcast(table)
 
-        def uses(frames: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def uses(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(shared.value)
-            for batch in frames:
-                langs = pd.Series(batch.column(0).to_pylist())
-                words = np.array(batch.column(1).to_pylist(), dtype=object)
-                n = batch.column(2).to_numpy().astype(float)
+            for table in joined(batches, LEARN_WORDS):
+                langs = pd.Series(table.column(0).to_pylist())
+                words = np.array(table.column(1).to_pylist(), dtype=object)
+                n = table.column(2).to_numpy().astype(float)
                 for lang, at in langs.groupby(langs).indices.items():
                     k = languages.index(lang)
                     total[:, k] += expected(pieces_of(path), list(words[at]), n[at], shared.value[:, k : k + 1])

@@ -18,6 +18,7 @@ from sediment.llm.common import packed, ship, slim, text_hash
 from sediment.session import materialise
 
 WINDOW_LINES = 3
+BLANK = " \t\n\x0b\x0c\r"
 
 
 def windows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = WINDOW_LINES) -> DataFrame:
@@ -28,7 +29,7 @@ def windows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
 
     def facts(line: Column, at: Column) -> Column:
-        bare = F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+        bare = F.btrim(line, F.lit(BLANK))
         return F.struct(at.alias("at"), F.xxhash64(bare).alias("x"), F.xxhash64(F.lit(1), bare).alias("y"), (bare == "").alias("blank"))
 
     rows = slim(docs, _id=id_column, _text=text_column)
@@ -63,7 +64,7 @@ def without(lines: list[str], spans: list[tuple[int, int]]) -> tuple[list[str],
     kept, at, gone = [], 0, 0
     for start, stop in sorted(spans):
         kept += lines[at : max(at, start)]
-        gone += sum(1 for x in lines[max(at, start) : stop + 1] if x.strip(" \t\n\r\x0b\x0c"))
+        gone += sum(1 for x in lines[max(at, start) : stop + 1] if x.strip(BLANK))
         at = max(at, stop + 1)
     return kept + lines[at:], gone
 

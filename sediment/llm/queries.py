@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import decontaminate, language, line_windows, pivotal, simhash
+from sediment.llm import (
+    decontaminate,
+    language,
+    license_vote,
+    line_windows,
+    pca_tiles,
+    pivotal,
+    quality,
+    separator_scan,
+    simhash,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +34,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_warc(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    folder = warc.archive_folder(pages)
+    found = warc.read(folder, warc.write(pages, folder))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op1_warc"] = """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+r as (select *, row_number() over (partition by h order by page_id) as nth, min(page_id) over (partition by h) as first from p)
+select page_id, strlen(html)::bigint as payload_bytes,
+       list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(h, (5 * (i // 4) + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31) + 1)::int, 1)),
+           'string_agg', '') as payload_digest,
+       case when nth = 1 then 'response' else 'revisit' end as record_type,
+       case when nth > 1 then first end as refers_to
+from r
+"""
+
+
+@query
+def op2_token_counts(spark, sf_dir):
+    counted = separator_scan.count(_table(spark, sf_dir, "documents"))
+    return counted.select(F.col("_id").alias("doc_id"), "n_tokens")
+
+
 @query
 def op3_simhash(spark, sf_dir):
     grouped = simhash.groups(_table(spark, sf_dir, "documents"))
@@ -48,6 +86,48 @@ def op5_line_windows(spark, sf_dir):
     )
 
 
+ORACLE["op5_line_windows"] = r"""
+with d as (select doc_id, string_split(text, chr(10)) as ls from documents),
+lines as (select doc_id, unnest(range(len(ls))) as at, unnest(ls) as line from d),
+bare as (select *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as b from lines),
+w as (select doc_id, at as start, lead(at, 2) over (partition by doc_id order by at) as stop,
+             b || chr(10) || lead(b) over (partition by doc_id order by at)
+               || chr(10) || lead(b, 2) over (partition by doc_id order by at) as words
+      from bare where b <> ''),
+n as (select *, row_number() over (partition by words order by doc_id, start) as nth from w where stop is not null),
+gone as (select distinct b.doc_id, b.at from bare b join n on n.doc_id = b.doc_id and b.at between n.start and n.stop and n.nth > 1),
+kept as (select b.doc_id, coalesce(string_agg(b.line, chr(10) order by b.at) filter (g.at is null), '') as text,
+                count(*) filter (g.at is not null and b.b <> '') as removed
+         from bare b left join gone g using (doc_id, at) group by b.doc_id)
+select d.doc_id, length(k.text)::bigint as kept_chars, coalesce(k.removed, 0)::bigint as removed, md5(k.text) as text_md5
+from d left join kept k using (doc_id)
+"""
+
+
+@query
+def op6_embeddings(spark, sf_dir):
+    return pca_tiles.neighbours(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op6_embeddings"] = """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+ok as (select * from v where len(list_filter(e, x -> x is null or not isfinite(x))) = 0 and len(list_filter(e, x -> x <> 0)) > 0),
+links as (select a.vec_id as x, b.vec_id as y from ok a join ok b
+          on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+reach as (select vec_id as x, vec_id as y from v union select r.x, l.y from reach r join links l on r.y = l.x),
+c as (select x, min(y) as component_id from reach group by x),
+n as (select x, count(*) as n_links from links group by x)
+select v.vec_id, coalesce(n.n_links, 0)::bigint as n_links, c.component_id, v.vec_id = c.component_id as kept
+from v join c on v.vec_id = c.x left join n on v.vec_id = n.x
+"""
+
+
+@query
+def op7_licenses(spark, sf_dir):
+    found = license_vote.licenses(_table(spark, sf_dir, "documents"))
+    return found.drop("_hash").withColumnRenamed("_id", "doc_id")
+
+
 @query
 def op8_language(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
@@ -55,6 +135,13 @@ def op8_language(spark, sf_dir):
     return found.select(F.col("_id").alias("doc_id"), language.held_out(F.col("_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    graded = quality.grade(docs, quality.learn(docs, _table(spark, sf_dir, "labels")))
+    return graded.drop("_hash").withColumnRenamed("_id", "doc_id")
+
+
 @query
 def op10_mixing(spark, sf_dir):
     mixed = pivotal.mix(_table(spark, sf_dir, "documents"))
