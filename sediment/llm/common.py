@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -9,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +22,34 @@ from sediment.session import materialise
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of text that a task turns into Python objects at a time.
+PART_BYTES = 4 << 20
+#: Bytes of rows that Spark hands to Python at a time, where the session has Spark's default.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
 _shipped: set[str] = set()
 
 
+def tidy() -> None:
+    """Give memory that a task no longer needs back to the system.
+
+    Spark keeps a task's Python process for later tasks; what it holds idle counts against
+    the executor.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # the C library may not offer it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per application.
+    """Give the executors' Python this package, once per application, and rows in small batches.
 
-    Nothing to do where the package itself came in an archive.
+    A batch size that the session sets itself is left alone. Nothing to send where the
+    package itself came in an archive.
     """
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     context, package = spark.sparkContext, Path(__file__).parent.parent
     if context.applicationId in _shipped or not package.is_dir():
         return
@@ -77,21 +101,27 @@ def attach(docs: DataFrame, decisions: DataFrame, id_column: str, text_column: s
     return join(decisions.where("_n = 1")).unionByName(once).drop("_id", "_hash")
 
 
-def column_bytes(column: pa.Array) -> list[bytes | None]:
-    """The values of a binary column."""
-    return column.to_pylist()
+def parts(column: pa.Array, limit: int = PART_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose text or bytes are at most ``limit`` together, or one row."""
+    if len(column):
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.flatnonzero(np.diff(np.cumsum(sizes) // limit, prepend=-1))
+        yield from zip(starts.tolist(), [*starts[1:].tolist(), len(column)], strict=True)
+
 
+def small_batches(
+    batches: Iterator[pa.RecordBatch], column: int, limit: int = PART_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """The same rows in small batches, with the values of a binary column.
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``limit`` bytes of one column, or one row."""
+    Spark bounds the bytes of a batch; Python's objects take a multiple of that, so only a
+    part of a batch is turned into them at a time.
+    """
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        sizes = np.array([len(v) if v is not None else 0 for v in column_bytes(batch.column(column))], dtype=np.int64)
-        block = np.cumsum(sizes) // limit
-        starts = np.flatnonzero(np.diff(block, prepend=-1))
-        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-            yield batch.slice(a, b - a)
+        for start, stop in parts(batch.column(column), limit):
+            part = batch.slice(start, stop - start)
+            yield part, part.column(column).to_pylist()
+    tidy()
 
 
 def components(links: DataFrame) -> DataFrame:

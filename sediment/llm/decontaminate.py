@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import column_bytes, packed, ship, slim, text_hash
+from sediment.llm.common import packed, ship, slim, small_batches, text_hash
 from sediment.session import materialise
 
 Q = 12
@@ -270,9 +270,9 @@ def matches(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
-            for batch in batches:
+            for batch, texts in small_batches(batches, 2):
                 at, found = [], []
-                for i, text in enumerate(column_bytes(batch.column(2))):
+                for i, text in enumerate(texts):
                     for hit in spans(index, text):
                         at.append(i)
                         found.append(hit)

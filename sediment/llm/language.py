@@ -26,7 +26,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import column_bytes, ship, slim, small_batches, text_hash
+from sediment.llm.common import parts, ship, slim, small_batches, text_hash, tidy
 from sediment.session import materialise
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -37,7 +37,7 @@ LONGEST = 64
 #: Added to every expected count.
 SMOOTH = 0.05
 #: Bytes of text looked at together, words of one pass, and words of one step of learning.
-BATCH, WORDS, LEARN_WORDS = 12 << 20, 1 << 15, 1 << 18
+BATCH, WORDS, LEARN_WORDS = 4 << 20, 1 << 14, 1 << 18
 #: Words are padded to a multiple of this, so that few lengths differ.
 PAD = 4
 UNDETERMINED = "und"
@@ -290,8 +290,8 @@ def learn(
     rows = rows.where(~held_out(F.col("_id"))).select(F.col("lang").cast("string"), F.col("_text").cast("binary"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 1, BATCH):
-            langs, texts = batch.column(0).to_pylist(), column_bytes(batch.column(1))
+        for batch, texts in small_batches(batches, 1, BATCH):
+            langs = batch.column(0).to_pylist()
             for lang in sorted(set(langs)):
                 words, number, _ = distinct_words([t for t, x in zip(texts, langs, strict=True) if x == lang])
                 n = np.bincount(number, minlength=len(words))
@@ -322,6 +322,7 @@ def learn(
                 [pa.array(piece, pa.int64()), pa.array(lang, pa.int64()), pa.array(total[piece, lang])],
                 names=["piece", "lang", "n"],
             )
+            tidy()
 
         sums = words.mapInArrow(uses, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
         found = sums.toArrow()
@@ -343,8 +344,8 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     rows = rows.select("_id", text_hash(F.col("_text")).alias("_hash"), F.col("_text").cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 2, BATCH):
-            names, scores = shared.value.predict(column_bytes(batch.column(2)))
+        for batch, texts in small_batches(batches, 2, BATCH):
+            names, scores = shared.value.predict(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["_id", "_hash", "lang_pred", "score"],
@@ -361,17 +362,15 @@ def keep_identified(
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def keep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def keep(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            data = [t.encode("utf-8", "surrogatepass") if t is not None else None for t in texts]
             out = []
-            size = np.cumsum([len(t) if t else 0 for t in data]) // BATCH
-            cuts = np.flatnonzero(np.diff(size, prepend=-1))
-            for a, b in zip(cuts, [*cuts[1:], len(data)], strict=True):
-                names, scores = shared.value.predict(data[a:b])
+            for start, stop in parts(texts, BATCH):
+                names, scores = shared.value.predict(texts[start:stop].cast(pa.binary()).to_pylist())
                 out += [n != UNDETERMINED and s >= least_score for n, s in zip(names, scores, strict=True)]
-            yield pd.Series(out, dtype=bool)
+            yield pa.array(out, pa.bool_())
+        tidy()
 
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    kept = docs.select(whole).where(F.pandas_udf(keep, "boolean")(F.col("doc").getField(text_column)))
+    kept = docs.select(whole).where(F.arrow_udf(keep, "boolean")(F.col("doc").getField(text_column)))
     return kept.select("doc.*")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sediment.llm.common import column_bytes, ship, slim, text_hash
+from sediment.llm.common import ship, slim, small_batches, text_hash
 from sediment.session import materialise
 
 #: Diagonals that are merged with one before them, and the share of a notice that must be found.
@@ -153,9 +153,9 @@ def votes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     kind = rows.schema["_id"].dataType.simpleString()
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, texts in small_batches(batches, 2):
             at, offsets, lists, held = [], [], [], 0
-            for i, text in enumerate(column_bytes(batch.column(2))):
+            for i, text in enumerate(texts):
                 words = word_hashes(text or b"")
                 both = np.zeros((len(words), 2), dtype=np.uint64)
                 for k, size in enumerate((2, 3)):

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import packed, ship, slim, text_hash
+from sediment.llm.common import packed, ship, slim, text_hash, tidy
 from sediment.session import materialise
 
 WINDOW_LINES = 3
@@ -79,25 +81,24 @@ def deduplicate(
     Rows equal in id and text are treated alike, as one document. No rows give no rows.
     """
 
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, spans in batches:
-            kept, removed = [], []
-            for text, cuts in zip(texts, spans, strict=True):
-                if cuts is None or not len(cuts):
-                    kept.append(text)
-                    removed.append(0)
-                else:
-                    lines, gone = without(text.split("\n"), [(c["start"], c["stop"]) for c in cuts])
-                    kept.append("\n".join(lines))
-                    removed.append(gone)
-            yield pd.DataFrame({"text": kept, "removed": removed})
+            touched = pc.is_valid(spans)
+            kept, removed = [], np.zeros(len(texts), dtype=np.int64)
+            for i in np.flatnonzero(touched.to_numpy(zero_copy_only=False)):
+                places = [(c["start"], c["stop"]) for c in spans[i].as_py()]
+                lines, removed[i] = without(texts[i].as_py().split("\n"), places)
+                kept.append("\n".join(lines))
+            left = pc.replace_with_mask(texts, touched, pa.array(kept, texts.type)) if kept else texts
+            yield pa.StructArray.from_arrays([left, pa.array(removed)], names=["text", "removed"])
+        tidy()
 
     ship(docs.sparkSession)
     spans = materialise(covered(docs, id_column, text_column, size), "line-spans")
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_hash") == F.col("_hash"))
     joined = packed(docs, id_column, text_column).join(spans, on, "left")
     text = F.col("doc").getField(text_column)
-    joined = joined.select("doc", F.pandas_udf(cut, "text string, removed long")(text, F.col("spans")).alias("cut"))
+    joined = joined.select("doc", F.arrow_udf(cut, "text string, removed long")(text, F.col("spans")).alias("cut"))
     new = [F.col("cut.text") if c == text_column else F.col("doc").getField(c) for c in docs.columns]
     return joined.select(F.struct(*[v.alias(c) for v, c in zip(new, docs.columns, strict=True)]).alias("doc"), "cut.removed")
 

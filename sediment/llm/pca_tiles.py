@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import components, ship, slim
+from sediment.llm.common import components, ship, slim, tidy
 from sediment.session import materialise
 
 THRESHOLD = 0.95
@@ -227,6 +227,7 @@ def _compare(classes: DataFrame, threshold: float) -> DataFrame:
                     [pa.array(every[at]), pa.array(links[at].astype(np.int64)), pa.array(every[root[at]])],
                     names=["node", "links", "root"],
                 )
+        tidy()
 
     return work.mapInArrow(compare, "node long, links long, root long")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import column_bytes, ship, slim, text_hash
+from sediment.llm.common import ship, slim, small_batches, text_hash
 from sediment.llm.language import held_out
 from sediment.llm.license_vote import groups_of, word_hashes
 
@@ -154,8 +154,8 @@ def learn(
     rows = rows.join(F.broadcast(picked), F.col("doc") == F.col("_id")).select(F.col("_text").cast("binary"), "grade", "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(t) for t in column_bytes(batch.column(0))]
+        for batch, texts in small_batches(batches, 0):
+            found = [features(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array([b.astype(np.int32) for b, _ in found], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))],
                 names=["grade", "doc", "buckets", "values"],
@@ -184,13 +184,12 @@ def grade(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     rows = rows.select("_id", text_hash(F.col("_text")).alias("_hash"), F.col("_text").cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                tails = shared.value.tails(column_bytes(batch.column(2)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(tails.sum(axis=1)), pa.array(tails[:, 0]), pa.array(tails[:, 1])],
-                    names=["_id", "_hash", "expected_grade", "p_clean", "p_good"],
-                )
+        for batch, texts in small_batches(batches, 2):
+            tails = shared.value.tails(texts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(tails.sum(axis=1)), pa.array(tails[:, 0]), pa.array(tails[:, 1])],
+                names=["_id", "_hash", "expected_grade", "p_clean", "p_good"],
+            )
 
     kind = rows.schema["_id"].dataType.simpleString()
     found = rows.mapInArrow(run, f"_id {kind}, _hash long, expected_grade double, p_clean double, p_good double")

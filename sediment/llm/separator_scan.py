@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.llm.common import column_bytes, ship, slim, text_hash
+from sediment.llm.common import ship, slim, small_batches, text_hash
 from sediment.llm.files import Output, commit, reading
 from sediment.session import materialise, scratch_path
 
@@ -66,11 +66,9 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, ordinal = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch, texts in small_batches(batches, 2):
             out = out or Output(folder, f"part-{TaskContext.get().partitionId():06d}.tokens")
-            for text in column_bytes(batch.column(2)):
+            for text in texts:
                 out.write(np.append(tokens(text, path), SEPARATOR).astype(dtype).tobytes())
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(

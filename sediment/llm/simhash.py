@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import attach, column_bytes, components, ship, slim, text_hash
+from sediment.llm.common import attach, components, ship, slim, small_batches, text_hash
 from sediment.session import materialise
 
 SHINGLE_WORDS = 3
@@ -57,8 +57,8 @@ def fingerprints(
     """Columns ``_id``, ``_hash`` (of the text, see ``text_hash``) and ``fp``, one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = [fingerprint(t, words_per_shingle) for t in column_bytes(batch.column(2))]
+        for batch, texts in small_batches(batches, 2):
+            fps = [fingerprint(t, words_per_shingle) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["_id", "_hash", "fp"]
             )
@@ -144,7 +144,7 @@ def groups(
     document is an empty result.
     """
     marked = materialise(fingerprints(docs, id_column, text_column, words_per_shingle), "simhash")
-    classes = marked.groupBy("fp").agg(F.min("_id").alias("first"))
+    classes = materialise(marked.groupBy("fp").agg(F.min("_id").alias("first")), "simhash-fps")
     roots = components(near_pairs(classes.select("fp"), max_bits))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.select("fp", "first", F.coalesce("root", "fp").alias("root"))
