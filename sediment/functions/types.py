@@ -84,7 +84,7 @@ def column_type(definition: Mapping[str, object]) -> T.DataType:
     """Spark type of one declared table column."""
     name = definition.get("type")
     if name not in TABLE_TYPES:
-        raise ValueError(f"Unsupported type '{name}' in schema.")
+        raise ValueError(f"Unsupported type '{name}' of a table column")
     if name == "String" and definition.get("length") is not None:
         return T.VarcharType(int(definition["length"]))
     if name == "Numeric":
@@ -92,9 +92,14 @@ def column_type(definition: Mapping[str, object]) -> T.DataType:
     return TABLE_TYPES[name]
 
 
-def table_types(schema: Mapping[str, object]) -> dict[str, T.DataType]:
-    """``{column: type}`` of a table schema; empty when it declares no columns."""
-    return {name: column_type(definition) for name, definition in (schema.get("columns") or {}).items()}
+def table_types(schema: Mapping[str, object], variant: bool = False) -> dict[str, T.DataType]:
+    """``{column: type}`` of a table schema; empty when it declares no columns.
+
+    With ``variant`` a JSON column holds parsed values instead of text.
+    """
+    found = {name: column_type(definition) for name, definition in (schema.get("columns") or {}).items()}
+    parsed = [name for name in found if variant and schema["columns"][name]["type"] == "JSON"]
+    return found | dict.fromkeys(parsed, T.VariantType())
 
 
 def apply_types(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
@@ -112,6 +117,9 @@ def _typed(field: T.StructField, target: T.DataType | None):
         return value
     if isinstance(target, (T.VarcharType, T.CharType)):
         target = T.StringType()
+    if isinstance(target, T.VariantType) and not isinstance(field.dataType, T.VariantType):
+        text = value if isinstance(field.dataType, T.StringType) else json_text(value)
+        return F.parse_json(text).alias(field.name)
     if isinstance(target, T.StringType) and isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
         return json_text(value).alias(field.name)
     return value.cast(target).alias(field.name)

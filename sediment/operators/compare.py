@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sediment.functions.columns import as_list, refuse_columns, require_columns
 from sediment.functions.hashing import HASH_COLUMN
-from sediment.operators.skew import is_small, lookup_join
+from sediment.operators.skew import hot_keys, is_small, lookup_join
 
 # The outcome words of a comparison.
 NEW = "new"
@@ -23,17 +24,6 @@ REMOVED_OR_CHANGED = "removed_or_changed"
 FLAGS = {UNCHANGED: "I", CHANGED: "C", NEW: "N"}
 
 
-def as_list(names: str | Sequence[str]) -> list[str]:
-    return [names] if isinstance(names, str) else list(names)
-
-
-def require_columns(frames: dict[str, DataFrame], columns: Sequence[str], what: str) -> None:
-    missing = {side: [c for c in columns if c not in df.columns] for side, df in frames.items()}
-    if any(missing.values()):
-        found = "; ".join(f"{side}: {names}" for side, names in missing.items() if names)
-        raise KeyError(f"{what} missing in {found}")
-
-
 def _stand_in(dtype: T.DataType) -> Column:
     """Any fixed value of a type, to stand in for null inside a join key."""
     if isinstance(dtype, T.StringType):
@@ -94,28 +84,46 @@ def require_unique(df: DataFrame, columns: Sequence[str], message: str) -> DataF
     return numbered.where(F.when(F.col("_copies") > 1, failed).otherwise(F.lit(True))).drop("_copies")
 
 
+def unique_by(df: DataFrame, keys: str | Sequence[str], label: str) -> DataFrame:
+    """The same rows; running the plan fails when a business key repeats, nulls being equal."""
+    keys = as_list(keys)
+    require_columns({label: df}, keys, "business key columns")
+    pairs = NullSafeKeys(df, df, keys)
+    return require_unique(pairs.add(df), pairs.columns, _repeated(keys, label)).drop(*pairs.columns)
+
+
+def _repeated(keys: Sequence[str], label: str) -> str:
+    # Fixed value: the first words tell this error from others.
+    return f"Duplicate keys found in {label}: rows share {', '.join(keys)}"
+
+
 def match_snapshots(
     current: DataFrame,
     new: DataFrame,
     keys: str | Sequence[str],
     hash_column: str,
     carry: Sequence[str],
+    ranked: NullSafeKeys | None = None,
 ) -> tuple[DataFrame, list[Column]]:
     """Full outer match of two snapshots with a status per key.
 
     Returns a frame with the columns of both sides, prefixed ``_old_`` and ``_new_``, and
     ``status``, plus the expressions that give the keys back. ``carry`` names the columns
-    the old side brings along besides its hash.
+    the old side brings along besides its hash. With ``ranked`` the old side already has
+    the key columns of that object, holds each key once and is partitioned by them, as
+    after a rank over them; it is neither checked nor shuffled again.
     """
     keys = as_list(keys)
     frames = {"current": current, "new": new}
     require_columns(frames, [hash_column], "hash column")
     require_columns(frames, keys, "business key columns")
-    pairs = NullSafeKeys(current, new, keys)
+    pairs = ranked or NullSafeKeys(current, new, keys)
 
     def side(label: str, columns: Sequence[str], prefix: str) -> DataFrame:
-        df = pairs.add(frames[label])
-        checked = require_unique(df, pairs.columns, f"Duplicate business key(s) found in {label}: {keys}")
+        if ranked and label == "current":
+            checked = frames[label]
+        else:
+            checked = require_unique(pairs.add(frames[label]), pairs.columns, _repeated(keys, label))
         body = [F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns]
         return checked.select(*pairs.columns, *body, F.lit(True).alias(f"{prefix}"))
 
@@ -132,14 +140,20 @@ def match_snapshots(
 
 
 def compare_by_key(
-    current: DataFrame, new: DataFrame, keys: str | Sequence[str], hash_column: str = HASH_COLUMN
+    current: DataFrame,
+    new: DataFrame,
+    keys: str | Sequence[str],
+    hash_column: str = HASH_COLUMN,
+    ranked: NullSafeKeys | None = None,
 ) -> DataFrame:
     """Keys, old hash, new-side columns with the new hash, and the status of each key.
 
-    A deleted key has null attributes. A key that repeats on a side is an error.
+    A deleted key has null attributes. A key that repeats on a side is an error, as are
+    data columns named like those the comparison adds.
     """
     keys = as_list(keys)
-    matched, key_columns = match_snapshots(current, new, keys, hash_column, [])
+    refuse_columns(new, ["status", f"{hash_column}_current", f"{hash_column}_new"], "a comparison")
+    matched, key_columns = match_snapshots(current, new, keys, hash_column, [], ranked)
     attributes = [
         F.col(f"`_new_{name}`").alias(f"{hash_column}_new" if name == hash_column else name)
         for name in new.columns
@@ -152,12 +166,18 @@ def compare_by_key(
 def compare_by_hash(current: DataFrame, new: DataFrame, hash_column: str = HASH_COLUMN) -> DataFrame:
     """Comparison without a key: every new row, plus the current hashes that are gone.
 
-    A full outer join could not split a hash that a third of the new rows share, so the
-    two halves are joined apart, each against distinct hashes.
+    One full outer join against the distinct current hashes, each side shuffled once. It
+    could not split a hash that a large share of the new rows has, so with such a hash the
+    two halves are joined apart.
     """
     require_columns({"current": current, "new": new}, [hash_column], "hash column")
+    refuse_columns(new, ["status"], "a comparison")
     others = [name for name in new.columns if name != hash_column]
     known = current.select(hash_column).distinct()
+    if not hot_keys(new, [hash_column]):
+        both = new.withColumn("_new_", F.lit(True)).join(known.withColumn("_old_", F.lit(True)), hash_column, "full_outer")
+        status = F.when(F.col("_old_").isNull(), NEW).when(F.col("_new_").isNull(), REMOVED_OR_CHANGED).otherwise(UNCHANGED)
+        return both.select(hash_column, *[F.col(f"`{name}`") for name in others], status.alias("status"))
     present = lookup_join(new, known.withColumn("_known", F.lit(True)), [hash_column], "left").select(
         hash_column,
         *others,
@@ -201,5 +221,43 @@ def with_flag(comparison: DataFrame) -> DataFrame:
     return comparison.withColumn("flag", flag)
 
 
+def count_by_key(
+    current: DataFrame, new: DataFrame, keys: str | Sequence[str], hash_column: str = HASH_COLUMN
+) -> DataFrame:
+    """``status_counts`` of a keyed comparison, from one aggregate per key.
+
+    Only key and hash of each row travel, combined per task before the shuffle; neither
+    side is sorted or joined. A key that repeats on a side is an error.
+    """
+    keys = as_list(keys)
+    frames = {"current": current, "new": new}
+    require_columns(frames, [hash_column], "hash column")
+    require_columns(frames, keys, "business key columns")
+    pairs = NullSafeKeys(current, new, keys)
+    sides = [
+        pairs.add(df.select(*keys, F.col(f"`{hash_column}`").alias("_hash"))).select(
+            *pairs.columns, F.lit(label == "new").alias("_new"), "_hash"
+        )
+        for label, df in frames.items()
+    ]
+    old, fresh = ~F.col("_new"), F.col("_new")
+    per_key = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy(*pairs.columns)
+        .agg(
+            F.count(F.when(old, 1)).alias("_n_old"),
+            F.count(F.when(fresh, 1)).alias("_n_new"),
+            F.max(F.when(old, F.col("_hash"))).alias("_old"),
+            F.max(F.when(fresh, F.col("_hash"))).alias("_fresh"),
+        )
+    )
+    status = F.when(F.col("_n_old") > 1, F.raise_error(F.lit(_repeated(keys, "current"))).cast("string"))
+    status = status.when(F.col("_n_new") > 1, F.raise_error(F.lit(_repeated(keys, "new"))).cast("string"))
+    status = status.when(F.col("_n_old") == 0, NEW).when(F.col("_n_new") == 0, DELETED)
+    status = status.when(F.col("_old").eqNullSafe(F.col("_fresh")), UNCHANGED).otherwise(CHANGED)
+    return per_key.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def status_counts(comparison: DataFrame) -> DataFrame:
     return comparison.groupBy("status").agg(F.count(F.lit(1)).alias("n"))

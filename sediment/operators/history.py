@@ -3,23 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.functions.hashing import HASH_COLUMN, add_row_hash
 from sediment.functions.lineage import LINEAGE_COLUMNS
-from sediment.operators.compare import CHANGED, DELETED, NEW, as_list, match_snapshots
+from sediment.functions.columns import as_list
+from sediment.operators.compare import CHANGED, DELETED, NEW, NullSafeKeys, match_snapshots
 from sediment.operators.skew import Timeline
 
-# Columns a history table adds to the data.
+# Columns a history table adds to the data; with lineage, hash and batch they are reserved.
 VALIDITY_COLUMNS = ("valid_from", "valid_to", "is_current")
-_TECHNICAL = {*LINEAGE_COLUMNS, *VALIDITY_COLUMNS, HASH_COLUMN, "status", "batch_id"}
+RESERVED = (*VALIDITY_COLUMNS, HASH_COLUMN, "batch_id")
 
 
 def comparable_columns(df: DataFrame, keys: str | Sequence[str]) -> list[str]:
     """The columns a change is looked for in: neither key nor bookkeeping."""
-    return [name for name in df.columns if name not in _TECHNICAL and name not in as_list(keys)]
+    technical = {*LINEAGE_COLUMNS, *RESERVED, *as_list(keys)}
+    return [name for name in df.columns if name not in technical]
+
+
+def _refuse_drift(current: DataFrame, incoming: DataFrame) -> None:
+    """A history keeps its columns; a new one is an error, not dropped."""
+    unknown = [c for c in incoming.columns if c not in (*current.columns, *VALIDITY_COLUMNS, HASH_COLUMN)]
+    if unknown:
+        raise ValueError(f"columns not in the history: {unknown}")
 
 
 def latest_version(df: DataFrame, keys: str | Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
@@ -84,6 +94,21 @@ def _hashed(df: DataFrame, compare: Sequence[str], strict: bool) -> DataFrame:
     return add_row_hash(df, compare, HASH_COLUMN, strict=strict)
 
 
+def without_versions(
+    opened: DataFrame, closed: DataFrame, keys: str | Sequence[str], batch: str | None = None
+) -> DataFrame:
+    """The versions of ``opened`` that ``closed`` does not end, told by key and start.
+
+    With ``batch`` only a later batch ends a version.
+    """
+    pairs = NullSafeKeys(opened, closed, as_list(keys))
+    left, right = pairs.add(opened).alias("o"), pairs.add(closed).alias("c")
+    same = reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"c.{k}") for k in [*pairs.columns, "valid_from"]])
+    if batch:
+        same = same & (F.col(f"o.{batch}") < F.col(f"c.{batch}"))
+    return left.join(right, same, "left_anti").select(*[F.col(f"o.`{c}`") for c in opened.columns])
+
+
 def merge_type1(
     current: DataFrame,
     incoming: DataFrame,
@@ -97,6 +122,7 @@ def merge_type1(
     A key absent from a full load is removed; absent from a delta load, it stays.
     """
     keys = as_list(keys)
+    _refuse_drift(current, incoming)
     compare = list(compare or comparable_columns(incoming, keys))
     columns = [c for c in current.columns if c != HASH_COLUMN]
     matched, key_columns = match_snapshots(
@@ -139,15 +165,17 @@ def merge_type2(
     compare: Sequence[str] | None = None,
     delta: bool = False,
     strict: bool = False,
+    changes_only: bool = False,
 ) -> DataFrame:
     """Type 2: what the current versions become when a snapshot arrives.
 
     ``current`` holds only current versions; closed ones never change again and need not
     be read. The result holds the current versions after the load, and those it closed
     (``is_current`` false). A changed key yields both, from one join: each matched pair
-    emits at most two rows.
+    emits at most two rows. With ``changes_only`` the result leaves out what stays open.
     """
     keys = as_list(keys)
+    _refuse_drift(current, incoming)
     compare = list(compare or comparable_columns(incoming, keys))
     columns = [c for c in current.columns if c not in (*VALIDITY_COLUMNS, HASH_COLUMN)]
     matched, key_columns = match_snapshots(
@@ -183,6 +211,7 @@ def merge_type2(
         F.when(status == CHANGED, F.array(closed, opened))
         .when(status == NEW, F.array(opened))
         .when(ended, F.array(closed))
-        .otherwise(F.array(still_open))
     )
+    if not changes_only:
+        rows = rows.otherwise(F.array(still_open))
     return matched.select(F.inline(rows))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sediment.operators.compare import NullSafeKeys, as_list
+from sediment.functions.columns import as_list
+from sediment.operators.compare import NullSafeKeys
 from sediment.session import materialise
 
 UNKNOWN_MEMBER = -1

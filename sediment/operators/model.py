@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.operators.compare import as_list, require_columns
+from sediment.functions.columns import as_list, require_columns
 from sediment.operators.history import live_rows
 from sediment.operators.keys import UNKNOWN_MEMBER
 from sediment.operators.skew import Timeline, fits_broadcast, lookup_join
@@ -92,7 +92,8 @@ def point_in_time(
 ) -> DataFrame:
     """Each row with the attributes of the version valid at its time, null if none is.
 
-    Versions of a key must not overlap. A history within the broadcast limit is joined by
+    Versions of a key must not overlap; one without a start, or that ends where it
+    starts, holds at no time. A history within the broadcast limit is joined by
     key and interval without moving the rows. A larger one is merged with the rows in
     time order and the latest version carried forward: work stays linear, where a range
     join would pair each row with all versions of its key.
@@ -102,7 +103,8 @@ def point_in_time(
     clash = [name for name in attributes if name in rows.columns]
     if clash:
         raise ValueError(f"attribute names already in use: {clash}")
-    spans = history.select(*keys, "valid_from", "valid_to", *attributes)
+    spans = history.where("valid_from < valid_to OR (valid_from IS NOT NULL AND valid_to IS NULL)")
+    spans = spans.select(*keys, "valid_from", "valid_to", *attributes)
     if fits_broadcast(spans):
         left, right = rows.alias("r"), spans.alias("v")
         matches = [F.col(f"r.{key}") == F.col(f"v.{key}") for key in keys]

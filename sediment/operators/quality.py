@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.operators.compare import as_list, require_columns
+from sediment.functions.columns import as_list, require_columns
 from sediment.operators.skew import lookup_join
+from sediment.session import materialise
 
 
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -83,13 +84,23 @@ def check_keys(tables: Mapping[str, DataFrame], constraints: Sequence[PrimaryKey
 
 
 class KeyViolation(ValueError):
-    """A declared key does not hold."""
+    """A declared key does not hold; ``report`` has every violation."""
+
+    def __init__(self, message: str, report: DataFrame):
+        super().__init__(message)
+        self.report = report
 
 
 def enforce_keys(tables: Mapping[str, DataFrame], constraints: Sequence[PrimaryKey | ForeignKey]) -> None:
-    """Fail when any declared key is broken, naming a few of the rows."""
+    """Fail when any declared key is broken.
+
+    The error names a few of the rows and carries the whole report, which is written to
+    the shared folder.
+    """
     if not constraints:
         return
-    sample = check_keys(tables, constraints).limit(5).collect()
-    if sample:
-        raise KeyViolation("; ".join(f"{r.table_name}: {r.rule} {r.key} ({r.n} rows)" for r in sample))
+    report = materialise(check_keys(tables, constraints), "key-report")
+    few = report.take(5)
+    if few:
+        named = "; ".join(f"{r.table_name}: {r.rule} {r.key} ({r.n} rows)" for r in few)
+        raise KeyViolation(f"{named}; all in {report.inputFiles()[0].rpartition('/')[0]}", report)

@@ -9,7 +9,7 @@ Three tools, all exact:
   the next range.
 
 Tables of a few input splits are left alone: no group in them can be more than one
-task handles.
+task handles. Sizes choose between plans, never between results.
 """
 
 from __future__ import annotations
@@ -24,13 +24,12 @@ from pyspark.sql import types as T
 
 from sediment.session import materialise
 
-# A key is hot when its rows exceed this many input splits (half a GiB on disk by default) ...
+# A key is hot when its rows exceed this many input splits (half a GiB on disk by default).
+# Only as many keys as the table has such parts can each be so large.
 HOT_SPLITS = 4
-# ... or this share of the table, whichever is larger. At most 1 / share keys can each
-# hold that share, which bounds the list of hot keys by arithmetic.
-MIN_HOT_SHARE = 5e-5
-# Ranges that ordered rows of hot keys are cut into, at most.
-MAX_RANGES = 10_000
+# Keys a sketch tells apart: Spark tracks a million items at most, a sketch four per key.
+# Tables of more parts have their keys counted exactly.
+MOST_SKETCHED = 200_000
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30, "t": 2**40, "tb": 2**40}
 
@@ -87,25 +86,39 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
     """Hash of each key with a large share of the rows, and how many parts its size fills.
 
     One pass over the key columns with a frequent-items sketch per task; no rows are
-    shuffled. Null keys count as a key. The sketch may name a key that is not quite hot;
+    shuffled. Tables too large for a sketch get exact counts, added up before a shuffle
+    of keys. Null keys count as a key. The sketch may name a key that is not quite hot;
     that only changes how its rows are processed. The plan's estimate is an upper bound
     that joins inflate, so the rows counted and the tables read limit it.
     """
     if is_small(df):
         return {}
     part = HOT_SPLITS * split_bytes(df.sparkSession)
-    most = int(1 / max(MIN_HOT_SHARE, part / estimated_bytes(df))) + 1
+    most = int(estimated_bytes(df) / part) + 1
+    if most > MOST_SKETCHED:
+        return _counted_hot_keys(df, keys, part)
     names = ", ".join(f"`{key}`" for key in keys)
     probe = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.expr(f"approx_top_k(xxhash64({names}), {most}, {4 * most + 1000})").alias("top"),
     ).first()
-    parts = min(estimated_bytes(df), max(input_bytes(df), probe["n"] * _row_bytes(df.schema))) / part
+    parts = _parts(df, probe["n"], part)
+    found = {row["item"]: row["count"] / probe["n"] for row in probe["top"] or []}
+    return {item: max(2, math.ceil(held * parts)) for item, held in found.items() if held * parts >= 1 and parts > 1}
+
+
+def _parts(df: DataFrame, rows: int, part: int) -> float:
+    return min(estimated_bytes(df), max(input_bytes(df), rows * _row_bytes(df.schema))) / part
+
+
+def _counted_hot_keys(df: DataFrame, keys: Sequence[str], part: int) -> dict[int, int]:
+    rows = df.count()
+    parts = _parts(df, rows, part)
     if parts <= 1:
         return {}
-    share = max(MIN_HOT_SHARE, 1 / parts)
-    found = {row["item"]: row["count"] / probe["n"] for row in probe["top"] or []}
-    return {item: max(2, math.ceil(held * parts)) for item, held in found.items() if held >= share}
+    counted = df.groupBy(key_hash(keys).alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    found = counted.where(F.col("n") * F.lit(parts) >= rows).collect()  # at most ``parts`` keys
+    return {row["item"]: max(2, math.ceil(row["n"] * parts / rows)) for row in found}
 
 
 def lookup_join(
@@ -125,8 +138,14 @@ def lookup_join(
     """
     keys = list(keys)
     for key in keys:
-        if left.schema[key].dataType != right.schema[key].dataType:
-            raise TypeError(f"key '{key}' has different types on the two sides")
+        types = left.schema[key].dataType, right.schema[key].dataType
+        if types[0] == types[1]:
+            continue
+        if not all(isinstance(t, T.IntegralType) for t in types):
+            raise TypeError(f"key '{key}' is {types[0].simpleString()} and {types[1].simpleString()}")
+        # The hash that salts a key must not depend on the width of its type.
+        left, right = (df.withColumn(key, F.col(f"`{key}`").cast("bigint")) for df in (left, right))
+        probe = None if probe is None else probe.withColumn(key, F.col(f"`{key}`").cast("bigint"))
     hot = {} if fits_broadcast(right) else hot_keys(left if probe is None else probe, keys)
     if not hot:
         return left.join(right, keys, how)
@@ -162,16 +181,16 @@ class Timeline:
         self.cut = bool(hot)
         self._df = df
         if self.cut:
-            names = ", ".join(f"`{key}`" for key in keys)
-            in_hot = F.expr(f"xxhash64({names}) IN ({', '.join(f'{item}L' for item in hot)})")
+            listed = F.broadcast(df.sparkSession.createDataFrame([(item,) for item in hot], "_hot bigint"))
+            in_hot = key_hash(keys) == F.col("_hot")
             # Written once: another evaluation could sample other range bounds.
             ranges = materialise(
-                df.where(in_hot)
-                .repartitionByRange(min(MAX_RANGES, sum(hot.values())), *self.keys, *self.order)
+                df.join(listed, in_hot, "left_semi")
+                .repartitionByRange(sum(hot.values()), *self.keys, *self.order)
                 .withColumn("_range", F.spark_partition_id()),
                 "ranges",
             )
-            self._df = df.where(~in_hot).withColumn("_range", F.lit(-1)).unionByName(ranges)
+            self._df = df.join(listed, in_hot, "left_anti").withColumn("_range", F.lit(-1)).unionByName(ranges)
 
     @property
     def df(self) -> DataFrame:
@@ -197,7 +216,9 @@ class Timeline:
 
         ``summary`` is what a range leaves to others, ``pick`` chooses among those of the
         key. A range holds a contiguous run of sorted keys, so there are at most as many
-        (key, range) pairs as ranges plus hot keys, which bounds the broadcast side.
+        (key, range) pairs as ranges plus hot keys. They are written; where the files show
+        them to be wide, they are not broadcast but joined by key and range, and no range
+        is larger than one task handles.
         """
         df = self._df.withColumn("_value_here", inside)
         if not self.cut:
@@ -210,8 +231,11 @@ class Timeline:
             .withColumn("_handed", pick(Window.partitionBy(*self.keys).orderBy("_range")))
             .select(*[F.col(f"`{name}`").alias(f"_at{i}") for i, name in enumerate(names)], "_handed")
         )
+        handed = materialise(handed, "handed")
+        if estimated_bytes(handed) <= split_bytes(df.sparkSession):
+            handed = F.broadcast(handed)
         same = [F.col(f"`{name}`").eqNullSafe(F.col(f"_at{i}")) for i, name in enumerate(names)]
-        joined = df.join(F.broadcast(handed), same, "left")
+        joined = df.join(handed, same, "left")
         added = joined.withColumns(columns(F.coalesce("_value_here", "_handed")))
         return self._next(added.drop("_value_here", "_handed", *[f"_at{i}" for i in range(len(names))]))
 

@@ -51,7 +51,7 @@ def test_lookup_join_equals_plain_join(spark, lopsided, large, how):
 
 
 def test_lookup_join_refuses_mixed_types(spark, lopsided):
-    users = spark.range(3).select(F.col("id").cast("int").alias("user_id"))
+    users = spark.range(3).select(F.col("id").cast("string").alias("user_id"))
     with pytest.raises(TypeError):
         skew.lookup_join(lopsided, users, ["user_id"])
 
