@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment.functions.cleaning import clean
-from sediment.functions.hashing import add_row_hash
+from sediment.functions.columns import as_list, refuse_columns
+from sediment.functions.hashing import HASH_COLUMN, add_row_hash
 from sediment.functions.lineage import LINEAGE_COLUMNS, add_metadata
 from sediment.functions.types import apply_types
-from sediment.operators.compare import NEW, altered, as_list, compare_by_key, drop_hashes
+from sediment.operators.compare import NEW, NullSafeKeys, altered, compare_by_key, drop_hashes, unique_by
 from sediment.operators.history import comparable_columns, live_rows
 from sediment.operators.model import gold
 from sediment.sinks.files import flat_columns
@@ -31,11 +32,21 @@ def newest_first(df: DataFrame) -> list[Column]:
     return [*order, F.col(BATCH).desc()] if BATCH in df.columns else order
 
 
+# Columns that silver adds or a comparison needs; data may not bring them.
+RESERVED = ("status", BATCH, HASH_COLUMN, f"{HASH_COLUMN}_current", f"{HASH_COLUMN}_new")
+
+
 def first_silver(
-    bronze: DataFrame, source: str = "unknown", version: str = "1.0", at: datetime | None = None
+    bronze: DataFrame,
+    source: str = "unknown",
+    version: str = "1.0",
+    at: datetime | None = None,
+    keys: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """First silver load: every row, status new."""
-    return add_metadata(bronze.withColumn("status", F.lit(NEW)), source, version, at)
+    """First silver load: every row, status new. With ``keys``, a key that repeats is an error."""
+    refuse_columns(bronze, RESERVED, "silver")
+    checked = unique_by(bronze, keys, "new") if keys else bronze
+    return add_metadata(checked.withColumn("status", F.lit(NEW)), source, version, at)
 
 
 def silver_delta(
@@ -53,12 +64,22 @@ def silver_delta(
 
     Each key's newest silver row is compared, keys last seen deleted being absent, so a
     key that comes back is new. Both sides hash the same columns: ``compare``, by default
-    the bronze columns that are neither key nor bookkeeping.
+    the bronze columns that are neither key nor bookkeeping. The rank that finds the newest
+    rows is over the columns that the join uses, so silver is shuffled once. A bronze
+    column that silver does not have is an error.
     """
+    refuse_columns(bronze, RESERVED, "silver")
+    unknown = [c for c in bronze.columns if c not in silver.columns]
+    if unknown:
+        raise ValueError(f"columns not in silver: {unknown}")
     compare = list(compare or comparable_columns(bronze, keys))
-    current = live_rows(silver, keys, newest_first(silver))
+    pairs = NullSafeKeys(silver, bronze, as_list(keys))
+    current = live_rows(pairs.add(silver), pairs.columns, newest_first(silver))
     comparison = compare_by_key(
-        add_row_hash(current, compare, strict=strict), add_row_hash(bronze, compare, strict=strict), keys
+        add_row_hash(current, compare, strict=strict),
+        add_row_hash(bronze, compare, strict=strict),
+        keys,
+        ranked=pairs,
     )
     return add_metadata(drop_hashes(altered(comparison, delta)), source, version, at)
 
@@ -90,6 +111,7 @@ class Medallion:
 
     def load_bronze(self, data: DataFrame, at: datetime | None = None) -> None:
         """Replace bronze by the raw data, nested values as JSON text."""
+        refuse_columns(data, RESERVED, "silver")
         replace_table(flat_columns(add_metadata(data, self.source, self.version, at)), self.bronze_table)
 
     def load_silver(
@@ -113,7 +135,7 @@ class Medallion:
                 silver, bronze, self.keys, self.compare, self.source, self.version, at, delta, self.strict
             )
         else:
-            rows = first_silver(bronze, self.source, self.version, at)
+            rows = first_silver(bronze, self.source, self.version, at, self.keys)
         keys = as_list(self.keys)
         columns = [*keys, *[c for c in rows.columns if c not in (*keys, *LINEAGE_COLUMNS, "status")]]
         ordered = rows.select(*columns, "status", *LINEAGE_COLUMNS)

@@ -2,29 +2,66 @@
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sediment.functions.columns import refuse_columns
 from sediment.functions.lineage import add_metadata, batch_time
-from sediment.operators.history import comparable_columns, merge_type1, merge_type2, open_history
-from sediment.operators.keys import surrogate_keys
-from sediment.operators.model import aggregate, dimension, fact
+from sediment.operators.compare import unique_by
+from sediment.operators.history import (
+    RESERVED,
+    comparable_columns,
+    latest_version,
+    merge_type1,
+    merge_type2,
+    open_history,
+    without_versions,
+)
+from sediment.operators.keys import UNKNOWN_MEMBER, surrogate_keys
+from sediment.operators.model import aggregate, dimension, fact, point_in_time
 from sediment.operators.quality import ForeignKey, PrimaryKey, enforce_keys
-from sediment.sinks.tables import BATCH, batches, load_table, replace_table, write_batch
+from sediment.session import materialise
+from sediment.sinks.tables import (
+    BATCH,
+    Prepared,
+    batches,
+    discard_table,
+    prepare_table,
+    publish_table,
+    replace_table,
+    write_batch,
+)
 from sediment.sources.control import Source, control_frame
 from sediment.sources.files import FILE_TYPES, read_files
-from sediment.sources.tables import read_database_table, read_table
+from sediment.sources.tables import read_database_table, read_table, table_exists
 
 # The schemas of the warehouse layers.
 STAGING, HISTORY, KEYS, DIMENSIONS, FACTS = "staging", "psh", "sk", "dim", "fact"
 
 Transform = Callable[..., DataFrame]
 
+# The table property that notes the loads of a history, and the inverse share of the
+# current versions that may change before a run writes them all again.
+LOADS = "sediment.loads"
+REWRITE = 4
+
+
+@dataclass(frozen=True)
+class Load:
+    """One run's part of a history: the run that wrote the last full set, current versions, changes since."""
+
+    batch: int
+    base: int
+    rows: int
+    changed: int = 0
+
 
 @dataclass(frozen=True)
 class Fact:
@@ -32,7 +69,8 @@ class Fact:
 
     ``dimensions`` maps a key column to (dimension, {source column: dimension column}).
     With ``grain`` the rows are added up to it; the measures are ``{alias: (function,
-    column)}``.
+    column)}``. ``as_of`` maps a key column to (time column, {attribute: column}): the
+    attributes that the member's version valid at that time had become columns of the row.
     """
 
     name: str
@@ -41,6 +79,7 @@ class Fact:
     columns: Sequence[str] = ()
     grain: Sequence[str] = ()
     measures: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+    as_of: Mapping[str, tuple[str, Mapping[str, str]]] = field(default_factory=dict)
 
 
 def transform(
@@ -60,16 +99,36 @@ def create_control_table(spark: SparkSession, table: str, definitions: Iterable[
 def extract_source(spark: SparkSession, source: Source, schema: T.StructType | str | None = None) -> DataFrame:
     """The data a control row points to: a file, a catalog table, or ``url;table``.
 
-    Files of csv or json are read by lines, so that large ones are read in parallel.
+    JSON files hold a record per line; csv values may hold line breaks. Under a schema, a
+    record that does not fit it is an error. A database connection may go on with options,
+    ``url;table;user=...;partition_column=...;partitions=8``; a value ``env:NAME`` is taken
+    from the environment, so that the control table holds no password.
     """
     if source.source_type in FILE_TYPES:
-        return read_files(spark, source.connection, source.source_type, schema, lines=True)
+        return read_files(spark, source.connection, source.source_type, schema, lines=source.source_type == "json")
     if source.source_type == "database":
-        url, _, table = source.connection.rpartition(";")
-        return read_database_table(spark, table, url)
+        url, table, options = database_connection(source.connection)
+        column, parts = options.pop("partition_column", None), int(options.pop("partitions", 1))
+        return read_database_table(
+            spark, table, url, properties=options, partition_column=column, partitions=parts
+        )
     return read_table(spark, source.connection)
 
 
+def database_connection(text: str) -> tuple[str, str, dict[str, str]]:
+    """URL, table and options of a control row's connection.
+
+    The URL may hold semicolons itself; the options are the last parts of the form
+    ``name=value``, before which the table stands.
+    """
+    parts = text.split(";")
+    options: dict[str, str] = {}
+    while len(parts) > 2 and "=" in parts[-1]:
+        name, _, value = parts.pop().partition("=")
+        options[name.strip()] = os.environ[value[4:]] if value.startswith("env:") else value
+    return ";".join(parts[:-1]), parts[-1], options
+
+
 @dataclass
 class Warehouse:
     """One run of the warehouse, identified by an increasing ``batch_id``.
@@ -82,6 +141,8 @@ class Warehouse:
     at: datetime
     transforms: Mapping[str, Transform] = field(default_factory=dict)
     schemas: Mapping[str, T.StructType | str] = field(default_factory=dict)
+    #: Give each dimension a row of the unknown member, so that keys of late members hold.
+    unknown_member: bool = False
 
     def stage(self, source: Source, data: DataFrame) -> DataFrame:
         """Recreate the staging table of a source."""
@@ -96,45 +157,80 @@ class Warehouse:
     def keep_history(self, source: Source, staged: DataFrame) -> DataFrame:
         """Merge staged rows into the history table and return the current versions.
 
-        Each run writes the current versions and those it closed as partitions of its
-        own, so only the previous run's current versions are read, never the closed
-        past. Superseded sets of current versions are dropped, bar the previous one.
+        A type 2 run writes the versions it opened and those it closed, as partitions of
+        its own, and nothing else: bytes written follow the load, not the table. Current
+        versions are those opened since the last full set less those closed since. Once
+        changes add up to a share of the current versions (REWRITE), a run writes a full
+        set again, so reading stays in proportion too. The closed past is never read. Sets
+        that are superseded are dropped, bar the one before. Type 1 writes full sets.
         """
         table = f"{HISTORY}.{source.source_name}"
         keys = list(source.primary_key)
         compare = list(source.compare_columns) or comparable_columns(staged, keys)
         begin = batch_time(self.at)
-        previous = self._earlier(table)
-        if previous is None:
-            rows = open_history(staged, begin)
+        refuse_columns(staged, RESERVED, "a history")
+        last = self._load_before(table, self.batch_id - 1)
+        if last is None:
+            rows = open_history(unique_by(staged, keys, "new"), begin)
+            load = Load(self.batch_id, self.batch_id, write_batch(rows, table, self.batch_id, ["is_current"])["rows"])
+        elif source.scd_type == 1:
+            current = self._current(table, keys, last)
+            kept = merge_type1(current, staged.withColumns({"valid_from": begin}), keys, compare, source.delta)
+            rows = kept.withColumns({"valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)})
+            load = Load(self.batch_id, self.batch_id, write_batch(rows, table, self.batch_id, ["is_current"])["rows"])
         else:
-            last = F.col(BATCH) == previous
-            current = read_table(self.spark, table).where(last & F.col("is_current")).drop(BATCH)
-            if source.scd_type == 2:
-                rows = merge_type2(current, staged, keys, begin, compare, source.delta)
-            else:
-                kept = merge_type1(
-                    current, staged.withColumns({"valid_from": begin}), keys, compare, source.delta
-                )
-                rows = kept.withColumns(
-                    {"valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)}
-                )
-        write_batch(rows, table, self.batch_id, ["is_current"])
-        if previous is not None:
+            current = self._current(table, keys, last)
+            changes = materialise(
+                merge_type2(current, staged, keys, begin, compare, source.delta, changes_only=True), "changes"
+            )
+            opened, closed = changes.agg(F.count_if("is_current"), F.count_if(~F.col("is_current"))).first()
+            load = Load(self.batch_id, last.base, last.rows + opened - closed, last.changed + opened + closed)
+            if load.changed * REWRITE > load.rows:
+                load = Load(self.batch_id, self.batch_id, load.rows)
+                kept = without_versions(current, changes.where("NOT is_current"), keys)
+                changes = changes.unionByName(kept)
+            write_batch(changes, table, self.batch_id, ["is_current"])
+        self._note_load(table, load)
+        if last is not None:
             for old in batches(self.spark, table):
-                if old < previous:
+                if old < last.base:
                     self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH}={old}, is_current=true)")
         return self.current_history(source)
 
+    def _loads(self, table: str) -> list[Load]:
+        """What earlier runs noted on the table, oldest first."""
+        if not table_exists(self.spark, table):
+            return []
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == LOADS).collect()
+        return [Load(*entry) for entry in json.loads(found[0]["value"])] if found else []
+
+    def _load_before(self, table: str, batch_id: int) -> Load | None:
+        known = [load for load in self._loads(table) if load.batch <= batch_id]
+        return known[-1] if known else None
+
+    def _note_load(self, table: str, load: Load) -> None:
+        others = [entry for entry in self._loads(table) if entry.batch != load.batch]
+        noted = json.dumps([astuple(entry) for entry in sorted([*others, load], key=lambda entry: entry.batch)])
+        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LOADS}' = '{noted}')")
+
+    def _current(self, table: str, keys: Sequence[str], load: Load) -> DataFrame:
+        """The current versions after a load."""
+        rows = read_table(self.spark, table).where(F.col(BATCH).between(load.base, load.batch))
+        opened = rows.where("is_current")
+        if load.batch > load.base:
+            closed = rows.where(~F.col("is_current") & (F.col(BATCH) > load.base))
+            opened = without_versions(opened, closed, keys, BATCH)
+        return opened.drop(BATCH)
+
     def current_history(self, source: Source) -> DataFrame:
-        table = read_table(self.spark, f"{HISTORY}.{source.source_name}")
-        return table.where((F.col(BATCH) == self.batch_id) & F.col("is_current")).drop(BATCH)
+        table = f"{HISTORY}.{source.source_name}"
+        return self._current(table, list(source.primary_key), self._load_before(table, self.batch_id))
 
     def full_history(self, source: Source) -> DataFrame:
         """Every version up to this run."""
         table = read_table(self.spark, f"{HISTORY}.{source.source_name}")
-        closed = ~F.col("is_current") & (F.col(BATCH) <= self.batch_id)
-        return table.where(closed | (F.col("is_current") & (F.col(BATCH) == self.batch_id))).drop(BATCH)
+        closed = table.where(~F.col("is_current") & (F.col(BATCH) <= self.batch_id)).drop(BATCH)
+        return closed.unionByName(self.current_history(source))
 
     def assign_keys(self, source: Source, history: DataFrame) -> DataFrame:
         """Give keys not seen before a surrogate key and return the whole map."""
@@ -146,20 +242,58 @@ class Warehouse:
         write_batch(surrogate_keys(history, keys, known), table, self.batch_id)
         return read_table(self.spark, table).where(F.col(BATCH) <= self.batch_id).drop(BATCH)
 
-    def build_dimension(self, source: Source, history: DataFrame, key_map: DataFrame) -> DataFrame:
-        table = f"{DIMENSIONS}.{source.source_name}"
-        rows = dimension(history, key_map, list(source.primary_key))
-        load_table(transform(rows, source.source_name, source, self.transforms), table)
-        return read_table(self.spark, table)
-
-    def build_fact(self, spec: Fact, source_rows: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
-        table = f"{FACTS}.{spec.name}"
+    def build_dimension(self, source: Source, history: DataFrame, key_map: DataFrame) -> Prepared:
+        """The rows of a dimension, written and not yet published."""
+        rows = transform(
+            dimension(history, key_map, list(source.primary_key)), source.source_name, source, self.transforms
+        )
+        if self.unknown_member:
+            unknown = self.spark.createDataFrame([(UNKNOWN_MEMBER,)], "surrogate_key bigint")
+            rows = rows.unionByName(unknown, allowMissingColumns=True)
+        return prepare_table(rows, f"{DIMENSIONS}.{source.source_name}")
+
+    def fact_rows(self, spec: Fact, source: Source, staged: DataFrame) -> DataFrame:
+        """All rows a fact stands for after this load.
+
+        Each load keeps its rows as partitions of its own. A full load counts alone; a
+        delta load adds to those since the last full one, the newest row of a key counting.
+        """
+        table = f"{FACTS}.{spec.name}_rows"
+        keys = list(source.primary_key)
+        refuse_columns(staged, [BATCH, "is_full"], "a fact's rows")
+        checked = unique_by(staged, keys, "new").withColumn("is_full", F.lit(not source.delta))
+        write_batch(checked, table, self.batch_id, ["is_full"])
+        rows = read_table(self.spark, table).where(F.col(BATCH) <= self.batch_id)
+        if not source.delta:
+            return rows.where(F.col(BATCH) == self.batch_id).drop(BATCH, "is_full")
+        parts = [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        full = [int(p.split("/")[0].split("=")[1]) for p in parts if p.endswith("is_full=true")]
+        rows = rows.where(F.col(BATCH) >= max([b for b in full if b <= self.batch_id], default=0))
+        return latest_version(rows, keys, [F.col(BATCH).desc()]).drop(BATCH, "is_full")
+
+    def build_fact(
+        self,
+        spec: Fact,
+        source_rows: DataFrame,
+        dimensions: Mapping[str, DataFrame],
+        sources: Mapping[str, Source] | None = None,
+    ) -> Prepared:
+        """The rows of a fact, written and not yet published."""
+        rows = source_rows
+        for key, (at, attributes) in spec.as_of.items():
+            name, references = spec.dimensions[key]
+            members = self.full_history((sources or {})[name]).select(
+                *[F.col(f"`{target}`").alias(column) for column, target in references.items()],
+                "valid_from",
+                "valid_to",
+                *[F.col(f"`{attribute}`").alias(column) for attribute, column in attributes.items()],
+            )
+            rows = point_in_time(rows, members, list(references), at, list(attributes.values()))
         wanted = {key: (dimensions[name], references) for key, (name, references) in spec.dimensions.items()}
-        rows = fact(source_rows, wanted, spec.columns)
+        rows = fact(rows, wanted, spec.columns)
         if spec.grain:
             rows = aggregate(rows, spec.grain, spec.measures)
-        load_table(rows, table)
-        return read_table(self.spark, table)
+        return prepare_table(rows, f"{FACTS}.{spec.name}")
 
     def run(
         self,
@@ -171,13 +305,44 @@ class Warehouse:
         """All steps for all sources; fails when a declared key does not hold.
 
         Sources that feed a fact stop at staging, their rows being the facts themselves.
-        ``data`` may hand over frames in place of a control row's connection.
+        ``data`` may hand over frames in place of a control row's connection. Dimensions
+        and facts are written aside, checked, and published together: after a failed run
+        readers still see those of the run before.
         """
         fact_sources = {spec.source for spec in facts}
+        prepared: dict[str, Prepared] = {}
         tables: dict[str, DataFrame] = {}
         staged: dict[str, DataFrame] = {}
+        sources = {source.source_name: source for source in plan}
+        try:
+            self._build(plan, facts, data or {}, fact_sources, prepared, tables, staged, sources)
+            known = dict(tables)
+            if self.unknown_member:  # it has no business key, and is no orphan
+                known |= {n: tables[n].where(F.col("surrogate_key") != UNKNOWN_MEMBER) for n in tables if n in sources}
+            primary = [c for c in constraints if isinstance(c, PrimaryKey)]
+            enforce_keys(known, primary)
+            enforce_keys(tables, [c for c in constraints if c not in primary])
+        except Exception:
+            for item in prepared.values():
+                discard_table(self.spark, item)
+            raise
+        for item in prepared.values():
+            publish_table(self.spark, item)
+        return {name: read_table(self.spark, item.table.replace("`", "")) for name, item in prepared.items()}
+
+    def _build(
+        self,
+        plan: Sequence[Source],
+        facts: Sequence[Fact],
+        data: Mapping[str, DataFrame],
+        fact_sources: set[str],
+        prepared: dict[str, Prepared],
+        tables: dict[str, DataFrame],
+        staged: dict[str, DataFrame],
+        sources: Mapping[str, Source],
+    ) -> None:
         for source in plan:
-            extracted = (data or {}).get(source.source_name)
+            extracted = data.get(source.source_name)
             if extracted is None:
                 extracted = extract_source(self.spark, source, self.schemas.get(source.source_name))
             rows = self.stage(source, extracted)
@@ -186,8 +351,10 @@ class Warehouse:
                 continue
             history = self.keep_history(source, rows)
             key_map = self.assign_keys(source, history)
-            tables[source.source_name] = self.build_dimension(source, history, key_map)
+            name = source.source_name
+            prepared[name] = self.build_dimension(source, history, key_map)
+            tables[name] = self.spark.table(prepared[name].loading)
         for spec in facts:
-            tables[spec.name] = self.build_fact(spec, staged[spec.source], tables)
-        enforce_keys(tables, constraints)
-        return tables
+            rows = self.fact_rows(spec, sources[spec.source], staged[spec.source])
+            prepared[spec.name] = self.build_fact(spec, rows, tables, sources)
+            tables[spec.name] = self.spark.table(prepared[spec.name].loading)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,12 +39,17 @@ def align(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def replace_table(df: DataFrame, table: str, types: Mapping[str, T.DataType] | None = None) -> None:
-    """Full refresh. The rows go to a new location first and the name moves to it after.
+@dataclass(frozen=True)
+class Prepared:
+    """Rows written under a name of their own, to become ``table``."""
 
-    So a table may be rebuilt from itself, readers keep the files they started on, and a
-    failed load leaves the old table. The replaced files stay until storage expires them.
-    """
+    table: str
+    loading: str
+    location: str
+
+
+def prepare_table(df: DataFrame, table: str, types: Mapping[str, T.DataType] | None = None) -> Prepared:
+    """Write the rows of a full refresh to a new location; ``table`` stays as it is."""
     spark = df.sparkSession
     schema, name = table.split(".") if "." in table else (spark.catalog.currentDatabase(), table)
     ensure_schema(spark, schema)
@@ -54,8 +62,36 @@ def replace_table(df: DataFrame, table: str, types: Mapping[str, T.DataType] | N
     except Exception:
         spark.sql(f"DROP TABLE {loading}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
-    spark.sql(f"ALTER TABLE {loading} RENAME TO `{schema}`.`{name}`")
+    return Prepared(f"`{schema}`.`{name}`", loading, location)
+
+
+def publish_table(spark: SparkSession, prepared: Prepared) -> None:
+    """Let the table's name stand for the prepared rows.
+
+    A table of the same columns is pointed to the new location, in one step that readers
+    see before or after. One whose columns change is dropped and its name given on.
+    """
+    name = prepared.table.replace("`", "")
+    if table_exists(spark, name) and spark.table(name).schema == spark.table(prepared.loading).schema:
+        spark.sql(f"ALTER TABLE {prepared.table} SET LOCATION '{prepared.location}'")
+        spark.catalog.refreshTable(name)
+        spark.sql(f"DROP TABLE {prepared.loading}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {prepared.table}")
+        spark.sql(f"ALTER TABLE {prepared.loading} RENAME TO {prepared.table}")
+
+
+def discard_table(spark: SparkSession, prepared: Prepared) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {prepared.loading}")
+
+
+def replace_table(df: DataFrame, table: str, types: Mapping[str, T.DataType] | None = None) -> None:
+    """Full refresh. The rows go to a new location first and the name moves to it after.
+
+    So a table may be rebuilt from itself, readers keep the files they started on, and a
+    failed load leaves the old table. The replaced files stay until storage expires them.
+    """
+    publish_table(df.sparkSession, prepare_table(df, table, types))
 
 
 def load_table(
@@ -83,7 +119,9 @@ def load_table(
 def _own_partitions_only(spark: SparkSession) -> Iterator[None]:
     """Overwriting inserts replace only the partitions they write.
 
-    An insert into a table takes this from the session, not from the writer.
+    An insert into a table takes this from the session, not from the writer. The handlers
+    of a stream have a session of their own; batch jobs that load tables side by side in
+    one session should take one each.
     """
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
@@ -105,8 +143,9 @@ def write_batch(
     """Write the rows of one load as partitions of their own, counting them on the way.
 
     A load that runs again overwrites its own partitions and no others, so a retry never
-    doubles rows. With ``status`` the counts are per value of that column. An empty load
-    writes nothing.
+    doubles rows; partitions of its first attempt that it does not fill again go, down to
+    all of them if it brings no row. With ``status`` the counts are per value of that
+    column.
     """
     spark = df.sparkSession
     typed = apply_types(df, types) if types else df
@@ -126,10 +165,33 @@ def write_batch(
     else:
         words = ("new", "changed", "deleted", "unchanged")
         measures = [F.count(F.when(F.col(status) == word, 1)).alias(word) for word in words]
-    counted = aligned.observe(counter, *measures)
+    # One entry per partition written; an empty text is stored as null.
+    place = F.struct(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"p{i}") for i, c in enumerate(layout)])
+    counted = aligned.observe(counter, *measures, F.to_json(F.collect_set(place), {"ignoreNullFields": "false"}).alias("_written"))
+    before = _partitions(spark, table, batch_id)
     with _own_partitions_only(spark):
         counted.write.mode("overwrite").insertInto(table)
-    return dict(counter.get)
+    found = dict(counter.get)
+    written = {tuple(entry.values()) for entry in json.loads(found.pop("_written") or "[]")}
+    for values in before - written:
+        names = [f"`{c}`='{_quoted(NO_VALUE if v is None else v)}'" for c, v in zip(layout, values, strict=True)]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({', '.join(names)})")
+    return found
+
+
+# Fixed value: the folder name that stands for null.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _partitions(spark: SparkSession, table: str, batch_id: int) -> set[tuple[str | None, ...]]:
+    """The values of a batch's partitions, which their folder names hold escaped."""
+    rows = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({BATCH}={batch_id})").collect()
+    texts = [[unquote(part.partition("=")[2]) for part in row[0].split("/")] for row in rows]
+    return {tuple(None if v == NO_VALUE else v for v in values) for values in texts}
 
 
 def batches(spark: SparkSession, table: str) -> list[int]:

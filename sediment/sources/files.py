@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sediment.session import materialise
+
 # The formats a source may have, and the folders of the staged tree.
 FILE_TYPES = ("csv", "json", "parquet")
 STAGED = "00_staged_files"
@@ -40,25 +42,76 @@ def format_options(file_type: str, lines: bool) -> dict[str, object]:
     return options
 
 
+# The column that holds the text of a record that does not fit its schema.
+CORRUPT = "_corrupt_record"
+
+
+def as_schema(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _by_header(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, options: dict[str, object]
+) -> T.StructType:
+    """The schema in the order of the csv header, which must have the same names."""
+    header = spark.read.options(**options).csv(path).columns  # reads one line
+    if sorted(header) != sorted(schema.names):
+        raise ValueError(f"csv header {header} does not have the columns of the schema {schema.names}")
+    return T.StructType([schema[name] for name in header])
+
+
 def read_files(
     spark: SparkSession,
     path: str | list[str],
     file_type: str,
     schema: T.StructType | str | None = None,
     lines: bool = False,
+    **options: object,
 ) -> DataFrame:
     """Read csv (with header), json or parquet.
 
     By default csv values may hold line breaks and a JSON document holds an array of
     records. With ``lines`` each line is one record, and a large file is read in parallel.
-    Give a schema for csv and json: without one Spark reads the data an extra time.
+    Give a schema for csv and json: without one Spark reads the data an extra time. Under a
+    schema csv columns are found by their names in the header, and a record that does not
+    fit is an error; ``read_records`` sets such records aside.
+    """
+    options = {**format_options(file_type, lines), **options}
+    if schema is None:
+        options |= {"inferSchema": True} if file_type == "csv" else {}
+        return spark.read.options(**options).format(file_type).load(path)
+    if file_type == "parquet":
+        return spark.read.options(**options).schema(schema).parquet(path)
+    wanted = as_schema(schema)
+    reader = spark.read.options(mode="FAILFAST", enforceSchema=False, **options)
+    if file_type == "json":
+        return reader.schema(wanted).json(path)
+    return reader.schema(_by_header(spark, path, wanted, options)).csv(path).select(*[f"`{n}`" for n in wanted.names])
+
+
+def read_records(
+    spark: SparkSession,
+    path: str | list[str],
+    file_type: str,
+    schema: T.StructType | str,
+    lines: bool = False,
+    **options: object,
+) -> tuple[DataFrame, DataFrame]:
+    """The records that fit the schema, and ``file_path`` and ``record`` text of the others.
+
+    Each file is parsed once, into the shared folder, from where both are read. Parquet
+    files have no such records.
     """
-    reader = spark.read.options(**format_options(file_type, lines))
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif file_type == "csv":
-        reader = reader.option("inferSchema", True)
-    return reader.format(file_type).load(path)
+    wanted, options = as_schema(schema), {**format_options(file_type, lines), **options}
+    if file_type == "parquet":
+        rows = spark.read.options(**options).schema(wanted).parquet(path)
+        return rows, spark.createDataFrame([], "file_path string, record string")
+    ordered = _by_header(spark, path, wanted, options) if file_type == "csv" else wanted
+    reader = spark.read.options(columnNameOfCorruptRecord=CORRUPT, enforceSchema=False, **options)
+    rows = reader.schema(T.StructType([*ordered.fields, T.StructField(CORRUPT, T.StringType())])).format(file_type).load(path)
+    parsed = materialise(rows.withColumn("file_path", F.col("_metadata.file_path")), "records")
+    good = parsed.where(F.col(CORRUPT).isNull()).select(*[f"`{n}`" for n in wanted.names])
+    return good, parsed.where(F.col(CORRUPT).isNotNull()).select("file_path", F.col(CORRUPT).alias("record"))
 
 
 def object_path(root: str, bucket: str, key: str) -> str:
@@ -112,19 +165,42 @@ def read_staged(
     file_type: str,
     schema: T.StructType | str | None = None,
     state: str = STAGED,
-    lines: bool = True,
+    lines: bool | None = None,
 ) -> DataFrame:
-    """All files of a source in one state, with what their paths tell."""
-    reader = spark.read.option("recursiveFileLookup", True).options(**format_options(file_type, lines))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return with_staged_path(reader.format(file_type).load(f"{root.rstrip('/')}/{source}/{state}"), state)
+    """All files of a source in one state, with what their paths tell.
+
+    As ``land`` writes them: JSON by lines, csv with line breaks inside values.
+    """
+    rows = read_files(
+        spark, f"{root.rstrip('/')}/{source}/{state}", file_type, schema, by_lines(file_type, lines), recursiveFileLookup=True
+    )
+    return with_staged_path(rows, state)
+
+
+def by_lines(file_type: str, lines: bool | None) -> bool:
+    """Whether landed files of a type are read by lines, unless told."""
+    return file_type == "json" if lines is None else lines
+
+
+def staged_loads(spark: SparkSession, root: str, source: str, file_type: str, state: str = STAGED) -> DataFrame:
+    """The loads of a source: ``staged_at`` and ``path``, the folder (or file) of each.
+
+    Paths only; no file is read.
+    """
+    base = f"{root.rstrip('/')}/{source}/{state}"
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+    placed = with_staged_path(found.select(F.col("path").alias("file")), state, "file")
+    below = F.substring_index("file", f"/{state}/", -1)
+    whole = F.concat(F.substring_index("file", f"/{state}/", 1), F.lit(f"/{state}/"), F.substring_index(below, "/", 4))
+    named = placed.where(F.col("staged_at").isNotNull() & whole.endswith(f".{file_type}"))
+    return named.select("staged_at", whole.alias("path")).distinct()
 
 
 def empty_files(spark: SparkSession, path: str) -> DataFrame:
     """Zero-byte files, of which no reader ever reports a row.
 
-    Spark's own file listing names them; the files that do give a row are taken off.
+    Spark's own file listing names them; the files that do give a row are taken off. The
+    names of all files pass through the driver, which lists them for any read.
     """
     filled = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     listed = spark.createDataFrame([(name,) for name in filled.inputFiles()], "path string")

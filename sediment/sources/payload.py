@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment.functions.cleaning import is_blank, trimmed
+from sediment.session import materialise
 
 logger = logging.getLogger(__name__)
 
@@ -83,10 +84,10 @@ def read_payload(
 def read_collection(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Records of a collection payload.
 
-    A payload that is not a list is a TypeError, one without records a warning. The check
-    looks for the first such file only.
+    A payload that is not a list is a TypeError, one without records a warning. The files
+    are parsed once, into the shared folder; the checks and the records are read from there.
     """
-    parsed = parse_payload(read_text_files(spark, path), schema, "collection")
+    parsed = materialise(parse_payload(read_text_files(spark, path), schema, "collection"), "payload")
     wrong = parsed.where(F.col("outcome") == CORRUPT_FILE).select("file_path").first()
     if wrong:
         raise TypeError(f"payload should be a list of records: {wrong.file_path}")
@@ -96,13 +97,22 @@ def read_collection(spark: SparkSession, path: str | list[str], schema: T.Struct
     return records
 
 
-def item(df: DataFrame, item_id: object, id_column: str = "id") -> DataFrame:
-    """The record with this id; the filter reaches the file scan. No match is no rows."""
+def item(df: DataFrame, item_id: object, id_column: str = "id", warn: bool = False) -> DataFrame:
+    """The record with this id; the filter reaches the file scan.
+
+    No match is no rows, and with ``warn``, which looks ahead, a warning. A frame without
+    the id column is no table of records: a TypeError.
+    """
+    if id_column not in df.columns:
+        raise TypeError(f"records have no field '{id_column}'")
     try:
         wanted = int(item_id)
     except (TypeError, ValueError):
         raise TypeError(f"{id_column} must be an integer, got {type(item_id).__name__}") from None
-    return df.where(F.col(id_column) == F.lit(wanted))
+    found = df.where(F.col(id_column) == F.lit(wanted))
+    if warn and found.isEmpty():
+        logger.warning("no record with %s %s", id_column, wanted)
+    return found
 
 
 def field_names(files: DataFrame) -> list[str]:

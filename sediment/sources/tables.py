@@ -23,7 +23,7 @@ def read_table(spark: SparkSession, table: str, schema: str | None = None) -> Da
         spark.catalog.refreshTable(qualified(table, schema))
         return spark.table(qualified(table, schema))
     except PySparkException as error:
-        raise ValueError(f"Failed to read table '{qualified(table, schema)}': {error}") from error
+        raise ValueError(f"Failed to read '{qualified(table, schema)}' from the catalog: {error}") from error
 
 
 def table_exists(spark: SparkSession, table: str, schema: str | None = None) -> bool:
@@ -74,7 +74,7 @@ def read_database_table(
                 )
         return reader.load()
     except PySparkException as error:
-        raise ValueError(f"Failed to read table '{name}': {error}") from error
+        raise ValueError(f"Failed to read '{name}' from the database: {error}") from error
 
 
 def read_database_query(

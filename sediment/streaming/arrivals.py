@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from sediment.sources.files import LOADED, STAGED, format_options, with_staged_path
+from sediment.session import materialise
+from sediment.sources.files import (
+    CORRUPT,
+    LOADED,
+    STAGED,
+    as_schema,
+    by_lines,
+    format_options,
+    read_files,
+    staged_loads,
+    with_staged_path,
+)
 from sediment.sources.payload import errored_records, good_records, parse_payload
 
 
@@ -34,12 +46,26 @@ def read_arrivals(
     schema: T.StructType | str,
     archive: bool = False,
     max_files: int | None = None,
-    lines: bool = True,
+    lines: bool | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """A stream of the records in staged files, each file once per checkpoint."""
+    """A stream of the records in staged files, each file once per checkpoint.
+
+    A record that does not fit the schema stops the stream, as does a csv header with other
+    names or another order. With ``keep_corrupt`` its text comes in a column for
+    ``split_records`` to set aside.
+    """
     reader, path = _staged_reader(spark, root, source, archive, max_files)
-    reader = reader.schema(schema).options(**format_options(file_type, lines))
-    return with_staged_path(reader.format(file_type).load(path))
+    wanted = as_schema(schema)
+    options = format_options(file_type, by_lines(file_type, lines))
+    if file_type != "parquet":
+        options |= {"enforceSchema": False}
+        if keep_corrupt:
+            wanted = T.StructType([*wanted.fields, T.StructField(CORRUPT, T.StringType())])
+            options |= {"columnNameOfCorruptRecord": CORRUPT}
+        else:
+            options |= {"mode": "FAILFAST"}
+    return with_staged_path(reader.schema(wanted).options(**options).format(file_type).load(path))
 
 
 def read_payload_arrivals(
@@ -89,13 +115,67 @@ def replace_batch(path: str) -> Callable[[DataFrame, int], None]:
     return handle
 
 
+def split_records(
+    good: Callable[[DataFrame, int], None], errored: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """A handler for ``read_arrivals`` with ``keep_corrupt``: records to one handler, the rest to another.
+
+    The batch is parsed once, into the shared folder.
+    """
+
+    def handle(rows: DataFrame, batch_id: int) -> None:
+        parsed = materialise(rows, "arrivals")
+        bad = F.col(CORRUPT).isNotNull()
+        kept = [c for c in parsed.columns if c.startswith("staged_")]
+        errored(parsed.where(bad).select(*kept, F.col(CORRUPT).alias("record")), batch_id)
+        good(parsed.where(~bad).drop(CORRUPT), batch_id)
+
+    return handle
+
+
+def load_id(at: datetime) -> int:
+    """A landed load's time as an increasing number."""
+    return int(at.strftime("%Y%m%d%H%M%S"))
+
+
+def per_load(
+    root: str,
+    source: str,
+    file_type: str,
+    schema: T.StructType | str,
+    handle: Callable[[DataFrame, int, datetime], None],
+    lines: bool | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """A handler that runs ``handle(rows, load, time)`` once per landed load, oldest first.
+
+    A micro-batch only tells which loads arrived; each is then read whole from its folder,
+    however many of its files the batch holds. A load whose later files come in another
+    batch runs again, and so do the loads after it, which were compared with less. So
+    ``handle`` must replace what an earlier run of that load wrote. Files must stay in the
+    staged tree: this does not go with ``archive``.
+    """
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        first = rows.agg(F.min("staged_at")).first()[0]
+        if first is None:
+            return
+        known = staged_loads(spark, root, source, file_type).where(F.col("staged_at") >= F.lit(first))
+        for load in known.orderBy("staged_at").collect():  # one row per load from there on
+            records = read_files(spark, load.path, file_type, schema, by_lines(file_type, lines))
+            handle(records, load_id(load.staged_at), load.staged_at)
+
+    return run
+
+
 def split_payload(
     good: Callable[[DataFrame, int], None], errored: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:
     """A handler for parsed payloads: records to one handler, unusable input to another."""
 
     def handle(rows: DataFrame, batch_id: int) -> None:
-        errored(errored_records(rows), batch_id)
-        good(good_records(rows), batch_id)
+        parsed = materialise(rows, "payloads")  # parsed once for both
+        errored(errored_records(parsed), batch_id)
+        good(good_records(parsed), batch_id)
 
     return handle
