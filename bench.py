@@ -2,11 +2,14 @@
 
 All queries run once cold; then each runs ``BENCH_RUNS`` times warm. Its figure is the
 warm median, planning and all files it writes included. Results go to a sink that
-discards rows, so every row is computed.
+discards rows, so every row is computed. As a yardstick the SQL of each query is timed on
+another engine over the same files, into a table in memory; it shares the cores and writes
+none of the files that a load writes.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
@@ -16,7 +19,7 @@ import time
 
 import pyspark
 
-from sediment.queries import QUERIES
+from sediment.queries import ORACLE, QUERIES
 from sediment.session import build_session
 
 HEADLINE = [
@@ -52,6 +55,26 @@ HEADLINE = [
 ]
 
 
+def yardstick(sf_dir: str, names: list[str], cpus: int, runs: int) -> dict[str, float]:
+    """Warm median seconds of each query's SQL."""
+    import duckdb
+
+    connection = duckdb.connect(config={"threads": cpus})
+    for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
+        name = os.path.basename(path).removesuffix(".parquet")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.execute(f"create view {name} as select * from '{files}'")
+    taken = {}
+    for name in names:
+        seconds = []
+        for _ in range(runs):
+            start = time.perf_counter()
+            connection.execute(f"create or replace temp table result as {ORACLE[name]}")
+            seconds.append(time.perf_counter() - start)
+        taken[name] = round(statistics.median(seconds), 3)
+    return taken
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -79,6 +102,8 @@ def main() -> None:
     for name in only:
         warm[name] = round(statistics.median(timed(name) for _ in range(runs)), 3)
         print(f"{name}: {cold[name]} cold, {warm[name]} warm", file=sys.stderr, flush=True)
+    spark.stop()
+    duckdb = yardstick(sf_dir, only, int(cpus), runs)
     print(
         json.dumps(
             {
@@ -87,13 +112,13 @@ def main() -> None:
                 "unit": "sec",
                 "queries": warm,
                 "cold": cold,
+                "duckdb": duckdb,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
                 "spark": pyspark.__version__,
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -1,6 +1,9 @@
 """Named queries over the test tables, each with the SQL it must agree with."""
 
+from sediment.queries import edges
+from sediment.queries.oracle import ORACLE as _ORACLE
 from sediment.queries.registry import QUERIES
-from sediment.queries.oracle import ORACLE
+
+ORACLE = _ORACLE | edges.ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]

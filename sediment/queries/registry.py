@@ -101,7 +101,12 @@ def _compared_orders(spark, sf_dir):
 
 @query
 def snapshot_diff_keyed(spark, sf_dir):
-    return compare.status_counts(_compared_orders(spark, sf_dir))
+    current = table(spark, sf_dir, "orders")
+    return compare.count_by_key(
+        hashing.add_row_hash(current, ORDER_COLUMNS),
+        hashing.add_row_hash(later_orders(current), ORDER_COLUMNS),
+        "o_orderkey",
+    )
 
 
 @query
@@ -118,10 +123,9 @@ def snapshot_diff_full(spark, sf_dir):
 def snapshot_diff_composite_key(spark, sf_dir):
     current = table(spark, sf_dir, "lineitem")
     measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    compared = compare.compare_by_key(
+    return compare.count_by_key(
         hashing.add_row_hash(current, measures), hashing.add_row_hash(later_lineitem(current), measures), LINE_KEYS
     )
-    return compare.status_counts(compared)
 
 
 @query
@@ -489,6 +493,7 @@ def constraint_report(spark, sf_dir):
 
 # --- sources, sinks, types --------------------------------------------------------
 
+# The fields of the records that the source's service sends.
 PRODUCT_FIELDS = {
     "id": "integer64",
     "title": "string",
@@ -567,8 +572,10 @@ def field_drift(spark, sf_dir):
 
 @query
 def item_lookup(spark, sf_dir):
-    """Each article's page holds its record; look one up by the text form of its id."""
-    return payload.item(_products(table(spark, sf_dir, "part")), "42").select("id", "title", "price")
+    """Look one record of the landed payload up by the text form of its id."""
+    path = _write_payload(_products(table(spark, sf_dir, "part")), _page(), spark)
+    good, _ = payload.read_payload(spark, path, types.record_schema(PRODUCT_FIELDS), "collection")
+    return payload.item(good, "42").select("id", "title", "price")
 
 
 @query
