@@ -46,7 +46,7 @@ ORACLE["op1_warc"] = """
 with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
 r as (select *, row_number() over (partition by h order by page_id) as nth, min(page_id) over (partition by h) as first from p)
 select page_id, strlen(html)::bigint as payload_bytes,
-       list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            (((('0x' || substr(h, (5 * (i // 4) + 1)::int, 5))::bigint >> (15 - 5 * (i % 4))::int) & 31) + 1)::int, 1)),
            'string_agg', '') as payload_digest,
        case when nth = 1 then 'response' else 'revisit' end as record_type,
@@ -88,17 +88,17 @@ def op5_line_windows(spark, sf_dir):
 
 ORACLE["op5_line_windows"] = r"""
 with d as (select doc_id, string_split(text, chr(10)) as ls from documents),
-lines as (select doc_id, unnest(range(len(ls))) as at, unnest(ls) as line from d),
+lines as (select doc_id, unnest(range(len(ls))) as ln, unnest(ls) as line from d),
 bare as (select *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') as b from lines),
-w as (select doc_id, at as start, lead(at, 2) over (partition by doc_id order by at) as stop,
-             b || chr(10) || lead(b) over (partition by doc_id order by at)
-               || chr(10) || lead(b, 2) over (partition by doc_id order by at) as words
+w as (select doc_id, ln as start, lead(ln, 2) over (partition by doc_id order by ln) as stop,
+             b || chr(10) || lead(b) over (partition by doc_id order by ln)
+               || chr(10) || lead(b, 2) over (partition by doc_id order by ln) as words
       from bare where b <> ''),
 n as (select *, row_number() over (partition by words order by doc_id, start) as nth from w where stop is not null),
-gone as (select distinct b.doc_id, b.at from bare b join n on n.doc_id = b.doc_id and b.at between n.start and n.stop and n.nth > 1),
-kept as (select b.doc_id, coalesce(string_agg(b.line, chr(10) order by b.at) filter (g.at is null), '') as text,
-                count(*) filter (g.at is not null and b.b <> '') as removed
-         from bare b left join gone g using (doc_id, at) group by b.doc_id)
+gone as (select distinct b.doc_id, b.ln from bare b join n on n.doc_id = b.doc_id and b.ln between n.start and n.stop and n.nth > 1),
+kept as (select b.doc_id, coalesce(string_agg(b.line, chr(10) order by b.ln) filter (g.ln is null), '') as text,
+                count(*) filter (g.ln is not null and b.b <> '') as removed
+         from bare b left join gone g using (doc_id, ln) group by b.doc_id)
 select d.doc_id, length(k.text)::bigint as kept_chars, coalesce(k.removed, 0)::bigint as removed, md5(k.text) as text_md5
 from d left join kept k using (doc_id)
 """
@@ -111,7 +111,7 @@ def op6_embeddings(spark, sf_dir):
 
 ORACLE["op6_embeddings"] = """
 with recursive v as (select vec_id, embedding::double[] as e from embeddings),
-ok as (select * from v where len(list_filter(e, x -> x is null or not isfinite(x))) = 0 and len(list_filter(e, x -> x <> 0)) > 0),
+ok as (select * from v where len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
 links as (select a.vec_id as x, b.vec_id as y from ok a join ok b
           on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
 reach as (select vec_id as x, vec_id as y from v union select r.x, l.y from reach r join links l on r.y = l.x),
