@@ -96,7 +96,8 @@ def deduplicate(
     ship(docs.sparkSession)
     spans = materialise(covered(docs, id_column, text_column, size), "line-spans")
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_hash") == F.col("_hash"))
-    joined = packed(docs, id_column, text_column).join(spans, on, "left")
+    # The same join at every size: cuts grow with the corpus.
+    joined = packed(docs, id_column, text_column).join(spans.hint("merge"), on, "left")
     text = F.col("doc").getField(text_column)
     joined = joined.select("doc", F.arrow_udf(cut, "text string, removed long")(text, F.col("spans")).alias("cut"))
     new = [F.col("cut.text") if c == text_column else F.col("doc").getField(c) for c in docs.columns]
