@@ -27,7 +27,8 @@ from sediment.session import materialise
 
 #: Diagonals that are merged with one before them, and the share of a notice that must be found.
 BAND, COVERAGE = 4, 0.6
-#: Votes a diagonal needs before it is merged with others.
+#: Votes a diagonal needs before it is merged with others, at most; fewer where BAND + 1
+#: diagonals with less could still hold the share together.
 VOTES = 3
 #: Words of one row sent to the join.
 ROW_WORDS = 1 << 15
@@ -54,6 +55,28 @@ NOTICES = {
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
     "no part of this publication may be reproduced stored in a retrieval system or transmitted in any form or by any means": "reserved",
 }
+# One line that names a license, and its label. Less than the share of a line's
+# triples is without the license's name, or another license of the list has it.
+LINES = {
+    "the apache license version 2 0": "apache-2.0",
+    "the apache license 2 0": "apache-2.0",
+    "released under the mit license": "mit",
+    "released under the bsd license": "bsd",
+    "under the bsd 2 clause license": "bsd",
+    "under the bsd 3 clause license": "bsd",
+    "under the gnu general public license": "gpl",
+    "under the gnu lesser general public license": "lgpl",
+    "under the mozilla public license version 2 0": "mpl-2.0",
+    "into the public domain": "public-domain",
+    "under cc0 1 0": "cc0",
+    "cc0 1 0 universal": "cc0",
+    "under cc by 4 0": "cc-by",
+    "under cc by sa 4 0": "cc-by-sa",
+    "under cc by nc 4 0": "cc-by-nc",
+    "under cc by nd 4 0": "cc-by-nd",
+    "under cc by nc sa 4 0": "cc-by-nc-sa",
+    "under cc by nc nd 4 0": "cc-by-nc-nd",
+}
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _ORDER = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -129,7 +152,7 @@ class Template:
 def templates() -> tuple[list[Template], list[tuple[int, int, int]]]:
     """The templates, and hash, template and place of each of their groups (at most 63 per template)."""
     found, rows = [], []
-    for texts, size, phrase in ((PHRASES, 2, True), (NOTICES, 3, False)):
+    for texts, size, phrase in ((PHRASES, 2, True), (NOTICES, 3, False), (LINES, 3, False)):
         for text, label in texts.items():
             words = word_hashes(text.encode())
             hashes = groups_of(words, size)
@@ -212,14 +235,15 @@ def _labels(spark: SparkSession) -> DataFrame:
 def spans(voted: DataFrame) -> DataFrame:
     """Verified spans of ``votes``: ``_id``, ``_hash``, ``label``, ``phrase``, ``start``, ``stop`` (words), ``coverage``.
 
-    A phrase's span is a diagonal on which all its groups vote. A notice's is the best of
-    the diagonals near it, each taken with those up to BAND after it.
+    A phrase's span is a diagonal on which all its groups vote. A notice's or line's is the
+    best of the diagonals near it, each taken with those up to BAND after it.
     """
     known = voted.join(F.broadcast(_labels(voted.sparkSession)), "template")
     exact = known.where(F.col("phrase") & (F.bit_count("mask") == F.col("groups"))).select(
         "_id", "_hash", "label", "phrase", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("words")).alias("stop"), F.lit(1.0).alias("coverage")
     )
-    strong = known.where(~F.col("phrase") & (F.bit_count("mask") >= VOTES))
+    needed = F.least(F.lit(VOTES), F.ceil(F.col("groups") * COVERAGE / (BAND + 1)))
+    strong = known.where(~F.col("phrase") & (F.bit_count("mask") >= needed))
     per = Window.partitionBy("_id", "_hash", "template").orderBy("diagonal")
     merged = strong.withColumn("all", F.bit_or("mask").over(per.rangeBetween(0, BAND)))
     merged = merged.withColumn("coverage", F.bit_count("all") / F.col("groups")).where(F.col("coverage") >= COVERAGE)
@@ -235,8 +259,8 @@ def spans(voted: DataFrame) -> DataFrame:
 def licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: ``_id``, ``_hash``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels``, ``score``.
 
-    The base columns tell of PHRASES, the others also of NOTICES; the score is the best
-    coverage. Without any, the counts are 0, the places null, the labels empty and the
+    The base columns tell of PHRASES, the others also of NOTICES and LINES; the score is the
+    best coverage. Without any, the counts are 0, the places null, the labels empty and the
     score 0. A null text is an empty one; repeated rows have a row each.
     """
     voted = materialise(votes(docs, id_column, text_column), "license-votes")

@@ -65,6 +65,38 @@ def test_notices_with_edits(spark):
         assert (wanted[r["_id"]] in labels) if r["_id"] in wanted else r["labels"] == r["base_labels"], (r["_id"], labels)
 
 
+def test_license_lines_of_the_table(spark, tables):
+    lines = {
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "Released under the MIT License.": "mit",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+    }
+    docs = tables("documents")
+    wanted = {r["doc_id"]: {v for k, v in lines.items() if k in (r["text"] or "")} for r in docs.collect()}
+    assert {"apache-2.0", "mit"} <= set().union(*wanted.values())
+    for r in lv.licenses(docs).collect():
+        labels, base_labels = (set(filter(None, r[c].split(","))) for c in ("labels", "base_labels"))
+        assert labels == base_labels | wanted[r["_id"]], r
+        assert not wanted[r["_id"]] or r["score"] == 1.0
+
+
+def test_license_lines_are_told_apart(spark):
+    rows = [(f"Licensed under {text.removeprefix('released ').removeprefix('under ')}.", {label}) for text, label in lv.LINES.items()]
+    rows += [
+        ("Distributed under the MIT license", {"mit"}),
+        ("licensed under the Apache License, Version 1.1", set()),
+        ("licensed under the Eclipse Public License, version 2.0", set()),
+        ("the GNU General Public License, version 2.0", set()),
+        ("released under the new license", set()),
+        ("released into the public eye", set()),
+    ]
+    frame = spark.createDataFrame([(i, f"some words before. {text} and some after") for i, (text, _) in enumerate(rows)], "doc_id long, text string")
+    for r in lv.licenses(frame).collect():
+        labels, base_labels = (set(filter(None, r[c].split(","))) for c in ("labels", "base_labels"))
+        assert labels == base_labels | rows[r["_id"]][1], (rows[r["_id"]], labels)
+
+
 def test_pieces_never_cut_words(monkeypatch):
     text = ("ab cd " * 50 + "e" * 40).encode()
     whole = lv.word_hashes(text)
