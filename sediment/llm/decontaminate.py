@@ -12,8 +12,9 @@ Texts are compared in lower case (A-Z) with runs of white space as one blank, as
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +24,18 @@ from pyspark.sql import functions as F
 from sediment.llm.common import packed, ship, slim, small_batches, text_hash
 from sediment.session import materialise
 
-Q = 12
-#: Bytes of a window and between windows; edits allowed per byte.
-WINDOW, STRIDE, EDIT_RATE = 120, 40, 0.07
+Q = 7
+#: Bytes of a window and between windows; edits allowed per byte. A copied part of WINDOW less
+#: its edits holds a window within its budget wherever it starts, as STRIDE is at most that budget.
+WINDOW, STRIDE, EDIT_RATE = 113, 10, 0.11
+#: Bytes in normal form of the shortest item that is looked for.
+SHORTEST = 12
 #: Bytes of benchmark text that one broadcast index holds; more is done in blocks.
 BLOCK_BYTES = 8 << 20
 #: Bytes of a document that are searched at a time, and pairs of q-grams held at a time.
 CHUNK, PAIRS = 1 << 21, 1 << 20
-_BITS = 22
+#: Bits of a table of the q-grams that occur, and at most of a table of counts.
+_BITS, _COUNT_BITS = 22, 21
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -50,14 +55,13 @@ def normal(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each q-gram (q = 12), by place."""
+    """64 bits that tell q-grams (q from 4 to 8) apart, by place."""
     if len(data) < Q:
         return np.empty(0, dtype=np.uint64)
     two = data[:-1].astype(np.uint32) | (data[1:].astype(np.uint32) << 8)
-    four = two[:-2] | (two[2:] << np.uint32(16))
-    eight = four[:-4].astype(np.uint64) | (four[4:].astype(np.uint64) << np.uint64(32))
-    mixed = eight[:-4] * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= four[8:].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    four = (two[:-2] | (two[2:] << np.uint32(16))).astype(np.uint64)
+    # The first four bytes and the last four, which may share some.
+    mixed = (four[: len(four) - (Q - 4)] | (four[Q - 4 :] << np.uint64(8 * (Q - 4)))) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(29)
     return mixed * np.uint64(0xBF58476D1CE4E5B9)
 
@@ -72,6 +76,34 @@ class Window:
     edits: int
     least: int
 
+    @cached_property
+    def places(self) -> dict[int, int]:
+        """A bit per place of each byte."""
+        found: dict[int, int] = {}
+        for i, byte in enumerate(self.data):
+            found[byte] = found.get(byte, 0) | 1 << i
+        return found
+
+    def near(self, region: bytes) -> bool:
+        """Whether some part of the region is within the budget: edit distance, a column at a time as bits."""
+        full = (1 << len(self.data)) - 1
+        last = 1 << (len(self.data) - 1)
+        up, down, cost, places = full, 0, len(self.data), self.places
+        for byte in region:
+            same = places.get(byte, 0)
+            across = (((same & up) + up) ^ up) | same
+            same |= down
+            more, less = down | (full & ~(across | up)), up & across
+            if more & last:
+                cost += 1
+            elif less & last:
+                cost -= 1
+                if cost <= self.edits:
+                    return True
+            more, less = (more << 1) & full, (less << 1) & full
+            up, down = less | (full & ~(same | more)), more & same
+        return False
+
 
 class Index:
     """The q-grams of a bounded block of items, and the items' windows."""
@@ -86,7 +118,7 @@ class Index:
             size = min(WINDOW, len(data))
             # A budget that leaves no q-gram to share would prove nothing.
             edits = min(int(size * edit_rate), (size - Q) // Q)
-            if size >= Q:
+            if size >= SHORTEST:
                 for start in sorted({*range(0, len(data) - size + 1, STRIDE), len(data) - size}):
                     own.append(len(self.windows))
                     least = size + 1 - Q - Q * edits
@@ -117,30 +149,64 @@ class Index:
         low = np.searchsorted(self.keys, codes[at], "left")
         high = np.searchsorted(self.keys, codes[at], "right")
         at, low, n = at[high > low], low[high > low], (high - low)[high > low]
+        fewest = self.least.min(initial=len(data))
+        if n.sum() < fewest or (enough := self._crowded(at, low, n, fewest)) is None:
+            return set()
         counted: dict[int, int] = {}
         for a, b in _slices(n):
             place, key = _expand(low[a:b], n[a:b])
             diagonal = at[a:b][place] - self.places[key]
-            self._count(diagonal, self.owners[key], self.places[key], counted)
+            kept = enough(diagonal, self.owners[key])
+            self._count(diagonal[kept], key[kept], counted)
         return {divmod(key, 1 << 40) for key, n in counted.items() if n >= self.least[key >> 40]}
 
-    def _count(self, diagonal: np.ndarray, item: np.ndarray, place: np.ndarray, counted: dict[int, int]) -> None:
+    def _crowded(self, at: np.ndarray, low: np.ndarray, n: np.ndarray, fewest: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray] | None:
+        """Tells which q-grams lie in a band that shares enough with their whole item, or seems to; None: none do.
+
+        All windows of an item have one size, and a window shares no more than its item does.
+        Counts of bands that meet in the table add up, which only lets more through.
+        """
+        bits = min(_COUNT_BITS, max(10, int(n.sum()).bit_length() + 2))
+        table = np.zeros(1 << bits, dtype=np.int64)
+
+        def slots(diagonal: np.ndarray, item: np.ndarray) -> Iterator[np.ndarray]:
+            band = diagonal // (self.edits[self.first[item]] + 1) + (item << 40) + (1 << 39)
+            for back in (0, 1):
+                mixed = (band - back).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                yield (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+        for a, b in _slices(n):
+            place, key = _expand(low[a:b], n[a:b])
+            for slot in slots(at[a:b][place] - self.places[key], self.owners[key]):
+                table += np.bincount(slot, minlength=len(table))
+
+        if table.max() < fewest:
+            return None
+
+        def enough(diagonal: np.ndarray, item: np.ndarray) -> np.ndarray:
+            most = np.maximum(*(table[slot] for slot in slots(diagonal, item)))
+            return most >= self.least[self.first[item]]
+
+        return enough
+
+    def _count(self, diagonal: np.ndarray, key: np.ndarray, counted: dict[int, int]) -> None:
+        # Bands of two steps, one step apart, hold any run of one step of diagonals. A place of
+        # the item counts once in a band, however often its q-gram is repeated there.
+        number = diagonal // (self.edits[self.first[self.owners[key]]] + 1) + (1 << 29)
+        once = np.unique(np.concatenate(((key << 30) + number, (key << 30) + number - 1)))
+        key, number = once >> 30, (once & ((1 << 30) - 1)) - (1 << 29)
+        item, place = self.owners[key], self.places[key]
+        band = number * (self.edits[self.first[item]] + 1) + (1 << 39)
         # Windows of an item start every STRIDE bytes, the last at its end, so few hold a place.
+        earliest = np.maximum(0, -(-(place + Q - WINDOW) // STRIDE))
         for k in range(int(-(-WINDOW // STRIDE)) + 2):
-            window = np.minimum(np.maximum(0, -(-(place + Q - WINDOW) // STRIDE)) + k, self.many[item] - 1)
-            repeated = (k > 0) & (np.maximum(0, -(-(place + Q - WINDOW) // STRIDE)) + k > self.many[item] - 1)
+            window = np.minimum(earliest + k, self.many[item] - 1)
+            repeated = (k > 0) & (earliest + k > self.many[item] - 1)
             window = self.first[item] + window
             inside = (place >= self.starts[window]) & (place + Q <= self.starts[window] + self.sizes[window]) & ~repeated
-            if not inside.any():
-                continue
-            w, d = window[inside], diagonal[inside]
-            step = self.edits[w] + 1
-            # Bands of two steps, one step apart, hold any run of one step of diagonals.
-            for back in (0, 1):
-                band = (d // step - back) * step + (1 << 39)
-                keys, n = np.unique((w << 40) + band, return_counts=True)
-                for key, m in zip(keys.tolist(), n.tolist(), strict=True):
-                    counted[key] = counted.get(key, 0) + m
+            keys, n = np.unique((window[inside] << 40) + band[inside], return_counts=True)
+            for key, m in zip(keys.tolist(), n.tolist(), strict=True):
+                counted[key] = counted.get(key, 0) + m
 
     def search(self, data: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """Item, first and last place in ``data``, and edits of each verified window."""
@@ -154,7 +220,7 @@ class Index:
             found = text.find(window.data, a, b)
             if found >= 0:
                 hit = (window.item, found, found + len(window.data), 0)
-            elif window.edits and (near := align(window.data, text[a:b], window.edits)):
+            elif window.edits and window.near(text[a:b]) and (near := align(window.data, text[a:b], window.edits)):
                 hit = (window.item, a + near[0], a + near[1], near[2])
             else:
                 continue

@@ -109,6 +109,37 @@ def test_partial_passages_of_two_windows(spark):
     assert [r["_item"] for r in d.matches(frame, bench).collect()] == [0]
 
 
+def test_shortest_copies_are_found_at_every_offset():
+    draw = random.Random(10)
+    item = prose(draw, 50).encode()[:253]
+    index = d.Index([item])
+    least = d.WINDOW - int(d.WINDOW * d.EDIT_RATE)
+    assert least == 101 and least + d.STRIDE <= 120
+    for size in (least, 111, 120):
+        for start in range(len(item) - size + 1):
+            assert d.spans(index, b"0" * 200 + item[start : start + size] + b"1" * 200), (size, start)
+
+
+def test_one_replaced_word_leaves_a_window():
+    draw = random.Random(12)
+    for _ in range(30):
+        item = prose(draw, 40)[:200]
+        words = item.split()
+        words[draw.randrange(len(words))] = "z" * 8
+        assert d.spans(d.Index([item.encode()]), f"{prose(draw, 30)} {' '.join(words)} {prose(draw, 30)}".encode())
+
+
+def test_counts_in_slices_lose_nothing(monkeypatch):
+    draw = random.Random(14)
+    items = [prose(draw, 40).encode() for _ in range(20)]
+    index = d.Index(items)
+    data = np.frombuffer(b" ".join(items), dtype=np.uint8)
+    whole = index.regions(data)
+    monkeypatch.setattr(d, "PAIRS", 50)
+    monkeypatch.setattr(d, "_COUNT_BITS", 10)
+    assert {i.item for i in index.windows} == {index.windows[w].item for w, _ in whole} and index.regions(data) >= whole
+
+
 def test_normal_form_places():
     data, places = d.normal("  Ab\t\n C ".encode())
     assert data.tobytes() == b"ab c" and places.tolist() == [2, 3, 4, 7]
