@@ -9,7 +9,8 @@ documents has left over, one fraction, trades again with those of other buckets,
 of groups, until a source has a single fraction, drawn last. The words a source takes
 differ from its target by less than one document.
 
-Buckets and draws come from hashes of id and text, so reruns and retried tasks agree.
+Buckets and draws come from hashes of id, text and, where a row is repeated, the number of
+the copy, so reruns and retried tasks agree.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
 #: Documents per bucket, and residuals that meet in one group of the tree.
 BUCKET_ROWS, FAN_IN = 5_000, 64
+#: Repeated rows that are numbered together.
+RUN_ROWS = 4096
 SEED = 17
 
 
@@ -66,6 +69,18 @@ def targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     return per.withColumn("target", target).select("source", "source_size", "rows", "target")
 
 
+def numbered(sized: DataFrame) -> DataFrame:
+    """The rows of ``sizes``, repeated ones with their number in ``nth``: null, 1, 2 and so on.
+
+    The first has null, which a hash passes over, so a row not repeated hashes as without it.
+    """
+    per = sized.groupBy("_id", "_hash", "source", "size").agg(F.count("*").alias("n"))
+    last = F.col("n") - 1
+    per = per.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(RUN_ROWS).cast("long"))))
+    nth = F.explode(F.sequence("run", F.least(last, F.col("run") + (RUN_ROWS - 1))))
+    return per.withColumn("nth", nth).withColumn("nth", F.nullif("nth", F.lit(0).cast("long"))).drop("n", "run")
+
+
 def settle(size: list[int], chance: list[float], draws: list[float]) -> tuple[list[int], int, float]:
     """Round all chances but one: 0 or 1 for each place, the place left over (-1: none) and its chance.
 
@@ -134,8 +149,8 @@ def mix(
     goals = materialise(targets(sized, weights, share, most), "mix-targets")
     rate = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.col("target") / F.col("source_size"))).otherwise(0.0)
     goal = goals.select(F.col("source").alias("_source"), "source_size", "target", rate.alias("rate"), "rows")
-    rows = sized.join(goal, F.col("source").eqNullSafe(F.col("_source")))
-    place = F.xxhash64(F.lit(seed), "_id", "_hash", "source")
+    rows = numbered(sized).join(goal, F.col("source").eqNullSafe(F.col("_source")))
+    place = F.xxhash64(F.lit(seed), "_id", "_hash", "source", "nth")
     rows = rows.select(
         "_id",
         "_hash",
@@ -145,7 +160,7 @@ def mix(
         "target",
         F.floor("rate").cast("long").alias("base"),
         (F.col("rate") - F.floor("rate")).alias("chance"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "_id", "_hash"), 11).alias("draw"),
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), "_id", "_hash", "nth"), 11).alias("draw"),
         F.pmod(place, F.greatest(F.lit(1), F.ceil(F.col("rows") / BUCKET_ROWS))).alias("bucket"),
         F.lit(0).cast("long").alias("place"),
     )

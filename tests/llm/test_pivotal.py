@@ -76,6 +76,18 @@ def test_many_buckets_meet_in_the_tree(spark, monkeypatch):
     assert all(abs(taken[s] - wanted[s]) <= most[s] for s in per)
 
 
+def test_repeated_rows_are_dealt_to_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(pivotal, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(pivotal, "RUN_ROWS", 64)
+    written, write = {}, pivotal.materialise
+    monkeypatch.setattr(pivotal, "materialise", lambda frame, label: written.setdefault(label, write(frame, label)))
+    rows = [(None, "one two three", "a", "", "", "")] * 5000 + [(None, None, "a", "", "", "")] * 300
+    found = pivotal.mix(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert max(r["count"] for r in written["mix-buckets"].groupBy("source", "bucket").count().collect()) < 200
+    assert len(found) == len(rows) and sum(r["size"] for r in found) == 15000
+    assert abs(sum(r["taken"] for r in found) - 22500) <= 3
+
+
 def test_settle_keeps_sums_and_expectations():
     draw = random.Random(9)
     sizes = [draw.randrange(1, 50) for _ in range(40)]
