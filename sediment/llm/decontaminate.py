@@ -36,6 +36,8 @@ BLOCK_BYTES = 8 << 20
 CHUNK, PAIRS = 1 << 21, 1 << 20
 #: Bits of a table of the q-grams that occur, and at most of a table of counts.
 _BITS, _COUNT_BITS = 22, 21
+#: Equal items whose rows are made together.
+RUN_ROWS = 4096
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -297,14 +299,18 @@ def spans(index: Index, text: bytes) -> list[tuple[int, int, int, int, int]]:
 
 
 def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int) -> Iterator[list[tuple]]:
-    """The items in blocks of about ``block_bytes``, each small enough to broadcast."""
+    """Item, text and number of equal rows, in blocks of about ``block_bytes``, each small enough to broadcast.
+
+    Equal rows are one row of a block, so that they cannot fill it.
+    """
     items = slim(benchmark, _item=item_column, _text=text_column).where("_text is not null")
     items = items.select("_item", F.col("_text").cast("binary").alias("_text"))
+    items = materialise(items.groupBy("_item", "_text").agg(F.count("*").alias("n")), "benchmark-items")
     total = items.agg(F.sum(F.length("_text"))).first()[0] or 0
     count = -(-total // block_bytes)
     part = F.pmod(F.xxhash64("_item", "_text"), F.lit(count or 1))
     for block in range(count):
-        yield [(r[0], bytes(r[1])) for r in items.where(part == block).orderBy("_item", "_text").collect()]
+        yield [(r[0], bytes(r[1]), r[2]) for r in items.where(part == block).orderBy("_item", "_text").collect()]
 
 
 def matches(
@@ -329,10 +335,10 @@ def matches(
     rows = slim(docs, _id=id_column, _text=text_column).where("_text is not null")
     rows = rows.select("_id", text_hash(F.col("_text")).alias("_hash"), F.col("_text").cast("binary"))
     kinds = rows.schema["_id"].dataType.simpleString(), benchmark.schema[item_column].dataType.simpleString()
-    schema = f"_id {kinds[0]}, _hash long, _item {kinds[1]}, windows long, edits long, start long, stop long"
+    schema = f"_id {kinds[0]}, _hash long, _item {kinds[1]}, windows long, edits long, start long, stop long, copies long"
     result = spark.createDataFrame([], schema)
     for block in blocks(benchmark, item_column, item_text_column, block_bytes):
-        shared = spark.sparkContext.broadcast((Index([text for _, text in block]), [item for item, _ in block]))
+        shared = spark.sparkContext.broadcast((Index([text for _, text, _ in block]), [(item, n) for item, _, n in block]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, names = shared.value
@@ -344,14 +350,19 @@ def matches(
                         found.append(hit)
                 if at:
                     own = [c.take(pa.array(at)) for c in (batch.column(0), batch.column(1))]
-                    items = pa.array([names[h[0]] for h in found], type=item_type)
+                    items = pa.array([names[h[0]][0] for h in found], type=item_type)
                     rest = [pa.array([h[k] for h in found], pa.int64()) for k in (1, 2, 3, 4)]
-                    yield pa.RecordBatch.from_arrays([*own, items, *rest], names=names_out)
+                    copies = pa.array([names[h[0]][1] for h in found], pa.int64())
+                    yield pa.RecordBatch.from_arrays([*own, items, *rest, copies], names=names_out)
 
-        names_out = ["_id", "_hash", "_item", "windows", "edits", "start", "stop"]
+        names_out = ["_id", "_hash", "_item", "windows", "edits", "start", "stop", "copies"]
         item_type = pa.string() if kinds[1] == "string" else pa.int32() if kinds[1] == "int" else pa.int64()
         result = result.union(rows.mapInArrow(run, schema))
-    return result
+    # Equal items were searched once; runs keep the arrays short.
+    last, run_rows = F.col("copies") - 1, F.lit(RUN_ROWS).cast("long")
+    result = result.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), last, run_rows)))
+    result = result.withColumn("nth", F.explode(F.sequence("first", F.least(last, F.col("first") + run_rows - 1))))
+    return result.drop("copies", "first", "nth")
 
 
 def drop_contaminated(

@@ -140,6 +140,18 @@ def test_counts_in_slices_lose_nothing(monkeypatch):
     assert {i.item for i in index.windows} == {index.windows[w].item for w, _ in whole} and index.regions(data) >= whole
 
 
+def test_repeated_items_do_not_fill_a_block(spark, monkeypatch):
+    monkeypatch.setattr(d, "RUN_ROWS", 64)
+    draw = random.Random(16)
+    items = [prose(draw, 30) for _ in range(3)]
+    bench = spark.createDataFrame([(0, items[0])] * 500 + [(None, items[1])] * 2 + [(2, items[2])], "item_id long, text string")
+    assert [sum(map(len, block)) for block in ([b for _, b, *_ in x] for x in d.blocks(bench, "item_id", "text", 1 << 20))] == [sum(map(len, items))]
+    frame = spark.createDataFrame([(1, items[0] + " and " + items[1]), (2, items[2]), (2, items[2])], "doc_id long, text string")
+    found = [(r["_id"], r["_item"]) for r in d.matches(frame, bench).collect()]
+    assert {x: found.count(x) for x in found} == {(1, 0): 500, (1, None): 2, (2, 2): 2}
+    assert d.drop_contaminated(frame, bench).count() == 0
+
+
 def test_normal_form_places():
     data, places = d.normal("  Ab\t\n C ".encode())
     assert data.tobytes() == b"ab c" and places.tolist() == [2, 3, 4, 7]
