@@ -13,10 +13,13 @@ from sediment.llm import (
     license_vote,
     line_windows,
     pca_tiles,
+    periodic_runs,
     pivotal,
     quality,
     separator_scan,
     simhash,
+    square_packing,
+    token_alignment,
     warc,
 )
 
@@ -146,3 +149,65 @@ def op9_quality(spark, sf_dir):
 def op10_mixing(spark, sf_dir):
     mixed = pivotal.mix(_table(spark, sf_dir, "documents"))
     return mixed.select(F.col("_id").alias("doc_id"), "source", "size", "source_size", "target", "copies", "taken")
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, a tenth of the texts, picked by a checksum of the id, made to repeat towards their end.
+
+    Of ``n`` words those from ``a`` on are replaced by the first ``p`` of them, over and
+    over. The other texts stay as they are.
+    """
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", checksum.alias("h"), F.floor(checksum / 10).alias("g"))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    marked = chosen.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    n = F.greatest(F.col("n"), F.lit(1))
+    placed = marked.withColumn("a", (F.col("g") % n).cast("int"))
+    period = 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))
+    placed = placed.withColumn("p", period.cast("int"))
+    head = F.slice("words", F.lit(1), F.col("a"))
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), n - F.col("a"))
+    made = F.array_join(F.concat(head, tail), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.runs(repeated(_table(spark, sf_dir, "documents")))
+    best = periodic_runs.strongest("runs")
+    line = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    lines = F.array_join(F.transform(line, lambda text: F.concat(text, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        F.col("_id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_packing(spark, sf_dir):
+    packed = square_packing.pack(_table(spark, sf_dir, "documents"))
+    return packed.select(
+        F.col("_id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    linked = token_alignment.link_counts(_table(spark, sf_dir, "documents"))
+    return linked.select(
+        F.col("_id").alias("doc_id"),
+        *["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"],
+        F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )

@@ -35,12 +35,18 @@ BLOCK_BYTES = 4 << 20
 _encodings: dict[str, tiktoken.Encoding] = {}
 
 
+def ranked_pieces(path: str) -> dict[bytes, int]:
+    """Bytes and id of each piece of a file of ranks."""
+    with open(path, "rb") as file:
+        return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
+
+
 def encoding(path: str = VOCABULARY) -> tiktoken.Encoding:
     """One per process."""
     if path not in _encodings:
-        with open(path, "rb") as file:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        _encodings[path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _encodings[path] = tiktoken.Encoding(
+            "own", pat_str=PATTERN, mergeable_ranks=ranked_pieces(path), special_tokens={}
+        )
     return _encodings[path]
 
 
