@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import astuple, dataclass, field
+from dataclasses import astuple, dataclass, field, replace
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +30,8 @@ from sediment.operators.keys import UNKNOWN_MEMBER, surrogate_keys
 from sediment.operators.model import aggregate, dimension, fact, point_in_time
 from sediment.operators.quality import ForeignKey, PrimaryKey, enforce_keys
 from sediment.session import materialise
-from sediment.sinks.tables import (
-    BATCH,
-    Prepared,
-    batches,
-    discard_table,
-    prepare_table,
-    publish_table,
-    replace_table,
-    write_batch,
-)
+from sediment.sinks.publication import Entry, discard_version, prepare_version, publish_versions, read_entry, settle
+from sediment.sinks.tables import BATCH, batches, prepare_table, publish_table, replace_table, write_batch
 from sediment.sources.control import Source, control_frame
 from sediment.sources.files import FILE_TYPES, read_files
 from sediment.sources.tables import read_database_table, read_table, table_exists
@@ -51,16 +45,27 @@ Transform = Callable[..., DataFrame]
 # current versions that may change before a run writes them all again.
 LOADS = "sediment.loads"
 REWRITE = 4
+#: Loads whose input stays noted, so that they can be done again after an older one is.
+REDONE = 32
 
 
 @dataclass(frozen=True)
 class Load:
-    """One run's part of a history: the run that wrote the last full set, current versions, changes since."""
+    """One run's part of a history: the run that wrote the last full set, current versions, changes since.
+
+    ``input`` is where its staged rows lie, and ``after`` the ``attempt`` of the load that
+    it was derived from; a load whose predecessor has been done again since is stale.
+    """
 
     batch: int
     base: int
     rows: int
     changed: int = 0
+    at: str = ""
+    load_type: str = "Full"
+    input: str = ""
+    attempt: str = ""
+    after: str = ""
 
 
 @dataclass(frozen=True)
@@ -133,7 +138,8 @@ def database_connection(text: str) -> tuple[str, str, dict[str, str]]:
 class Warehouse:
     """One run of the warehouse, identified by an increasing ``batch_id``.
 
-    A run that is repeated reads only earlier runs and replaces what it wrote itself.
+    A run that is repeated reads only earlier runs and replaces what it wrote itself. If
+    there are later runs, they are done again in order from the rows they had staged.
     """
 
     spark: SparkSession
@@ -143,18 +149,25 @@ class Warehouse:
     schemas: Mapping[str, T.StructType | str] = field(default_factory=dict)
     #: Give each dimension a row of the unknown member, so that keys of late members hold.
     unknown_member: bool = False
+    #: Called for each table as it is published; an error undoes the publication of all.
+    announce: Callable[[Entry], None] | None = None
 
     def stage(self, source: Source, data: DataFrame) -> DataFrame:
         """Recreate the staging table of a source."""
-        table = f"{STAGING}.{source.source_name}"
-        replace_table(add_metadata(data, source.source_name, at=self.at), table)
-        return read_table(self.spark, table)
+        self._stage(source, data)
+        return read_table(self.spark, f"{STAGING}.{source.source_name}")
+
+    def _stage(self, source: Source, data: DataFrame) -> str:
+        """The same; the folder of the rows, which later runs leave as it is."""
+        prepared = prepare_table(add_metadata(data, source.source_name, at=self.at), f"{STAGING}.{source.source_name}")
+        publish_table(self.spark, prepared)
+        return prepared.location
 
     def _earlier(self, table: str) -> int | None:
         known = [batch for batch in batches(self.spark, table) if batch < self.batch_id]
         return known[-1] if known else None
 
-    def keep_history(self, source: Source, staged: DataFrame) -> DataFrame:
+    def keep_history(self, source: Source, staged: DataFrame, location: str = "") -> DataFrame:
         """Merge staged rows into the history table and return the current versions.
 
         A type 2 run writes the versions it opened and those it closed, as partitions of
@@ -163,6 +176,8 @@ class Warehouse:
         changes add up to a share of the current versions (REWRITE), a run writes a full
         set again, so reading stays in proportion too. The closed past is never read. Sets
         that are superseded are dropped, bar the one before. Type 1 writes full sets.
+
+        ``location`` is where the staged rows lie, for when the load has to be done again.
         """
         table = f"{HISTORY}.{source.source_name}"
         keys = list(source.primary_key)
@@ -170,35 +185,46 @@ class Warehouse:
         begin = batch_time(self.at)
         refuse_columns(staged, RESERVED, "a history")
         last = self._load_before(table, self.batch_id - 1)
+        noted = Load(
+            self.batch_id,
+            self.batch_id,
+            0,
+            at=self.at.isoformat(),
+            load_type=source.load_type,
+            input=location,
+            attempt=uuid.uuid4().hex[:8],
+            after=last.attempt if last else "",
+        )
         if last is None:
             rows = open_history(unique_by(staged, keys, "new"), begin)
-            load = Load(self.batch_id, self.batch_id, write_batch(rows, table, self.batch_id, ["is_current"])["rows"])
+            load = replace(noted, rows=write_batch(rows, table, self.batch_id, ["is_current"])["rows"])
         elif source.scd_type == 1:
             current = self._current(table, keys, last)
             kept = merge_type1(current, staged.withColumns({"valid_from": begin}), keys, compare, source.delta)
             rows = kept.withColumns({"valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)})
-            load = Load(self.batch_id, self.batch_id, write_batch(rows, table, self.batch_id, ["is_current"])["rows"])
+            load = replace(noted, rows=write_batch(rows, table, self.batch_id, ["is_current"])["rows"])
         else:
             current = self._current(table, keys, last)
             changes = materialise(
                 merge_type2(current, staged, keys, begin, compare, source.delta, changes_only=True), "changes"
             )
             opened, closed = changes.agg(F.count_if("is_current"), F.count_if(~F.col("is_current"))).first()
-            load = Load(self.batch_id, last.base, last.rows + opened - closed, last.changed + opened + closed)
+            changed = last.changed + opened + closed
+            load = replace(noted, base=last.base, rows=last.rows + opened - closed, changed=changed)
             if load.changed * REWRITE > load.rows:
-                load = Load(self.batch_id, self.batch_id, load.rows)
+                load = replace(load, base=self.batch_id, changed=0)
                 kept = without_versions(current, changes.where("NOT is_current"), keys)
                 changes = changes.unionByName(kept)
             write_batch(changes, table, self.batch_id, ["is_current"])
-        self._note_load(table, load)
+        self._note_loads(table, [load])
         if last is not None:
             for old in batches(self.spark, table):
                 if old < last.base:
                     self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH}={old}, is_current=true)")
-        return self.current_history(source)
+        return self._current(table, keys, load)
 
     def _loads(self, table: str) -> list[Load]:
-        """What earlier runs noted on the table, oldest first."""
+        """What runs noted on the table, oldest first."""
         if not table_exists(self.spark, table):
             return []
         found = self.spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == LOADS).collect()
@@ -208,11 +234,77 @@ class Warehouse:
         known = [load for load in self._loads(table) if load.batch <= batch_id]
         return known[-1] if known else None
 
-    def _note_load(self, table: str, load: Load) -> None:
-        others = [entry for entry in self._loads(table) if entry.batch != load.batch]
-        noted = json.dumps([astuple(entry) for entry in sorted([*others, load], key=lambda entry: entry.batch)])
+    def _note_loads(self, table: str, fresh: Sequence[Load]) -> None:
+        """In one step; of old loads only what reading needs stays noted."""
+        replaced = {load.batch for load in fresh}
+        loads = sorted([*fresh, *(load for load in self._loads(table) if load.batch not in replaced)], key=lambda load: load.batch)
+        loads = [replace(load, input="") if k < len(loads) - REDONE else load for k, load in enumerate(loads)]
+        noted = json.dumps([astuple(load) for load in loads]).replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LOADS}' = '{noted}')")
 
+    def _prepare_redo(self, source: Source) -> None:
+        """Make sure that this load can be done again beneath later ones, or refuse before anything is written.
+
+        The later loads need their staged rows, and this one the current versions of the
+        load before it. Where those were superseded and dropped, a type 2 history still
+        tells them, by the times its versions held, and they are written again.
+        """
+        table, keys = f"{HISTORY}.{source.source_name}", list(source.primary_key)
+        loads = self._loads(table)
+        later = [load for load in loads if load.batch > self.batch_id]
+        if not later:
+            return
+        before = self._load_before(table, self.batch_id - 1)
+        if lost := [load.batch for load in later if not load.input]:
+            raise ValueError(f"run {self.batch_id} of '{source.source_name}' can't be repeated: the rows of runs {lost} are not noted")
+        times = [*([before.at] if before else []), self.at.isoformat(), *(load.at for load in later)]
+        if any(not a or datetime.fromisoformat(a) >= datetime.fromisoformat(b) for a, b in zip(times, times[1:], strict=False)):
+            raise ValueError(f"run {self.batch_id} of '{source.source_name}' must have a time between the runs around it")
+        dropped_below = loads[-2].base
+        if before is None or before.base >= dropped_below:
+            return
+        if source.scd_type == 1:
+            raise ValueError(f"run {self.batch_id} of '{source.source_name}' can't be repeated: type 1 keeps no state that old")
+        then = batch_time(datetime.fromisoformat(before.at))
+        whole = self._whole(table, keys, loads[-1])
+        held = whole.where((F.col("valid_from") <= then) & (F.col("valid_to").isNull() | (F.col("valid_to") > then)))
+        held = held.withColumns({"valid_to": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)})
+        # A repeated attempt at this may find some of these rows written already.
+        current = held.dropDuplicates([*keys, "valid_from"])
+        closed = read_table(self.spark, table).where((F.col(BATCH) == before.batch) & ~F.col("is_current")).drop(BATCH)
+        write_batch(materialise(current.unionByName(closed), "restored"), table, before.batch, ["is_current"])
+        rows = read_table(self.spark, table).where((F.col(BATCH) == before.batch) & F.col("is_current")).count()
+        self._note_loads(
+            table,
+            [
+                replace(load, base=before.batch, **({"rows": rows, "changed": 0} if load.batch == before.batch else {}))
+                for load in loads
+                if load.batch >= before.batch and load.base <= before.batch
+            ],
+        )
+
+    def _redo(self, source: Source) -> None:
+        """Do the loads again that were derived from an attempt that is no more, in order."""
+        table = f"{HISTORY}.{source.source_name}"
+        while True:
+            loads = self._loads(table)
+            pairs = zip(loads, loads[1:], strict=False)
+            stale = next((load for before, load in pairs if load.after and load.after != before.attempt), None)
+            if stale is None:
+                return
+            run = replace(self, batch_id=stale.batch, at=datetime.fromisoformat(stale.at))
+            own = replace(source, load_type=stale.load_type)
+            run.keep_history(own, self._staged_rows(table, stale), stale.input)
+
+    def _staged_rows(self, table: str, load: Load) -> DataFrame:
+        """The rows that a load had staged."""
+        try:
+            return self.spark.read.parquet(load.input)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return read_table(self.spark, table).drop(*RESERVED).limit(0)  # it staged none
+
     def _current(self, table: str, keys: Sequence[str], load: Load) -> DataFrame:
         """The current versions after a load."""
         rows = read_table(self.spark, table).where(F.col(BATCH).between(load.base, load.batch))
@@ -222,27 +314,42 @@ class Warehouse:
             opened = without_versions(opened, closed, keys, BATCH)
         return opened.drop(BATCH)
 
+    def _whole(self, table: str, keys: Sequence[str], load: Load) -> DataFrame:
+        """Every version after a load."""
+        closed = read_table(self.spark, table).where(~F.col("is_current") & (F.col(BATCH) <= load.batch)).drop(BATCH)
+        return closed.unionByName(self._current(table, keys, load))
+
+    def _own_load(self, source: Source) -> Load:
+        """The newest load up to this run; an error if an older one was repeated and the runs after it were not."""
+        loads = [load for load in self._loads(f"{HISTORY}.{source.source_name}") if load.batch <= self.batch_id]
+        if any(load.after and load.after != before.attempt for before, load in zip(loads, loads[1:], strict=False)):
+            raise RuntimeError(f"'{source.source_name}' has runs that must be done again; run it to do so")
+        return loads[-1]
+
     def current_history(self, source: Source) -> DataFrame:
-        table = f"{HISTORY}.{source.source_name}"
-        return self._current(table, list(source.primary_key), self._load_before(table, self.batch_id))
+        return self._current(f"{HISTORY}.{source.source_name}", list(source.primary_key), self._own_load(source))
 
     def full_history(self, source: Source) -> DataFrame:
         """Every version up to this run."""
-        table = read_table(self.spark, f"{HISTORY}.{source.source_name}")
-        closed = table.where(~F.col("is_current") & (F.col(BATCH) <= self.batch_id)).drop(BATCH)
-        return closed.unionByName(self.current_history(source))
+        return self._whole(f"{HISTORY}.{source.source_name}", list(source.primary_key), self._own_load(source))
+
+    def assign_keys(self, source: Source, history: DataFrame, keep: bool = False) -> DataFrame:
+        """Give keys not seen before a surrogate key and return the whole map.
 
-    def assign_keys(self, source: Source, history: DataFrame) -> DataFrame:
-        """Give keys not seen before a surrogate key and return the whole map."""
+        With ``keep`` the keys that an earlier attempt of this run gave stay given.
+        """
         table = f"{KEYS}.{source.source_name}"
         keys = list(source.primary_key)
         known = None
-        if self._earlier(table) is not None:
-            known = read_table(self.spark, table).where(F.col(BATCH) < self.batch_id).drop(BATCH)
-        write_batch(surrogate_keys(history, keys, known), table, self.batch_id)
+        if self._earlier(table) is not None or (keep and table_exists(self.spark, table)):
+            known = read_table(self.spark, table).where(F.col(BATCH) < self.batch_id + keep)
+        rows = surrogate_keys(history, keys, None if known is None else known.drop(BATCH))
+        if keep and known is not None:
+            rows = materialise(rows.unionByName(known.where(F.col(BATCH) == self.batch_id).drop(BATCH)), "keys")
+        write_batch(rows, table, self.batch_id)
         return read_table(self.spark, table).where(F.col(BATCH) <= self.batch_id).drop(BATCH)
 
-    def build_dimension(self, source: Source, history: DataFrame, key_map: DataFrame) -> Prepared:
+    def build_dimension(self, source: Source, history: DataFrame, key_map: DataFrame) -> Entry:
         """The rows of a dimension, written and not yet published."""
         rows = transform(
             dimension(history, key_map, list(source.primary_key)), source.source_name, source, self.transforms
@@ -250,10 +357,10 @@ class Warehouse:
         if self.unknown_member:
             unknown = self.spark.createDataFrame([(UNKNOWN_MEMBER,)], "surrogate_key bigint")
             rows = rows.unionByName(unknown, allowMissingColumns=True)
-        return prepare_table(rows, f"{DIMENSIONS}.{source.source_name}")
+        return prepare_version(rows, f"{DIMENSIONS}.{source.source_name}", self.batch_id)
 
     def fact_rows(self, spec: Fact, source: Source, staged: DataFrame) -> DataFrame:
-        """All rows a fact stands for after this load.
+        """All rows a fact stands for after this load, and after later ones if there are any.
 
         Each load keeps its rows as partitions of its own. A full load counts alone; a
         delta load adds to those since the last full one, the newest row of a key counting.
@@ -263,13 +370,16 @@ class Warehouse:
         refuse_columns(staged, [BATCH, "is_full"], "a fact's rows")
         checked = unique_by(staged, keys, "new").withColumn("is_full", F.lit(not source.delta))
         write_batch(checked, table, self.batch_id, ["is_full"])
-        rows = read_table(self.spark, table).where(F.col(BATCH) <= self.batch_id)
-        if not source.delta:
-            return rows.where(F.col(BATCH) == self.batch_id).drop(BATCH, "is_full")
-        parts = [row[0] for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()]
-        full = [int(p.split("/")[0].split("=")[1]) for p in parts if p.endswith("is_full=true")]
-        rows = rows.where(F.col(BATCH) >= max([b for b in full if b <= self.batch_id], default=0))
-        return latest_version(rows, keys, [F.col(BATCH).desc()]).drop(BATCH, "is_full")
+        parts = [row[0].split("/") for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        loads = {int(batch.split("=")[1]): full == "is_full=true" for batch, full in parts}
+        # A load without rows leaves no partition.
+        loads.setdefault(self.batch_id, not source.delta)
+        newest = max(loads)
+        base = max([batch for batch, full in loads.items() if full], default=0)
+        rows = read_table(self.spark, table).where(F.col(BATCH).between(base, newest))
+        if base < newest:
+            rows = latest_version(rows, keys, [F.col(BATCH).desc()])
+        return rows.drop(BATCH, "is_full")
 
     def build_fact(
         self,
@@ -277,7 +387,7 @@ class Warehouse:
         source_rows: DataFrame,
         dimensions: Mapping[str, DataFrame],
         sources: Mapping[str, Source] | None = None,
-    ) -> Prepared:
+    ) -> Entry:
         """The rows of a fact, written and not yet published."""
         rows = source_rows
         for key, (at, attributes) in spec.as_of.items():
@@ -293,7 +403,7 @@ class Warehouse:
         rows = fact(rows, wanted, spec.columns)
         if spec.grain:
             rows = aggregate(rows, spec.grain, spec.measures)
-        return prepare_table(rows, f"{FACTS}.{spec.name}")
+        return prepare_version(rows, f"{FACTS}.{spec.name}", self.batch_id)
 
     def run(
         self,
@@ -306,29 +416,31 @@ class Warehouse:
 
         Sources that feed a fact stop at staging, their rows being the facts themselves.
         ``data`` may hand over frames in place of a control row's connection. Dimensions
-        and facts are written aside, checked, and published together: after a failed run
-        readers still see those of the run before.
+        and facts are written aside, checked, and published in one step: after a failed
+        run readers still see all those of the run before. A run older than the newest
+        publishes the state of the newest.
         """
         fact_sources = {spec.source for spec in facts}
-        prepared: dict[str, Prepared] = {}
+        prepared: dict[str, Entry] = {}
         tables: dict[str, DataFrame] = {}
-        staged: dict[str, DataFrame] = {}
-        sources = {source.source_name: source for source in plan}
+        settle(self.spark)
         try:
-            self._build(plan, facts, data or {}, fact_sources, prepared, tables, staged, sources)
+            self._build(plan, facts, data or {}, fact_sources, prepared, tables)
             known = dict(tables)
             if self.unknown_member:  # it has no business key, and is no orphan
-                known |= {n: tables[n].where(F.col("surrogate_key") != UNKNOWN_MEMBER) for n in tables if n in sources}
+                members = [source.source_name for source in plan if source.source_name in tables]
+                known |= {n: tables[n].where(F.col("surrogate_key") != UNKNOWN_MEMBER) for n in members}
             primary = [c for c in constraints if isinstance(c, PrimaryKey)]
             enforce_keys(known, primary)
             enforce_keys(tables, [c for c in constraints if c not in primary])
+            retired = publish_versions(self.spark, prepared.values(), told=self.announce)
         except Exception:
-            for item in prepared.values():
-                discard_table(self.spark, item)
+            for entry in prepared.values():
+                discard_version(self.spark, entry)
             raise
-        for item in prepared.values():
-            publish_table(self.spark, item)
-        return {name: read_table(self.spark, item.table.replace("`", "")) for name, item in prepared.items()}
+        for entry in retired:
+            discard_version(self.spark, entry)
+        return tables
 
     def _build(
         self,
@@ -336,25 +448,35 @@ class Warehouse:
         facts: Sequence[Fact],
         data: Mapping[str, DataFrame],
         fact_sources: set[str],
-        prepared: dict[str, Prepared],
+        prepared: dict[str, Entry],
         tables: dict[str, DataFrame],
-        staged: dict[str, DataFrame],
-        sources: Mapping[str, Source],
     ) -> None:
+        sources = {source.source_name: source for source in plan}
+        members = [source for source in plan if source.source_name not in fact_sources]
+        for source in members:
+            self._redo(source)  # what an interrupted run left
+            self._prepare_redo(source)
+        staged: dict[str, DataFrame] = {}
+        newest = self.batch_id
         for source in plan:
             extracted = data.get(source.source_name)
             if extracted is None:
                 extracted = extract_source(self.spark, source, self.schemas.get(source.source_name))
-            rows = self.stage(source, extracted)
+            location = self._stage(source, extracted)
+            rows = read_table(self.spark, f"{STAGING}.{source.source_name}")
             if source.source_name in fact_sources:
                 staged[source.source_name] = transform(rows, source.source_name, source, self.transforms)
                 continue
-            history = self.keep_history(source, rows)
-            key_map = self.assign_keys(source, history)
-            name = source.source_name
-            prepared[name] = self.build_dimension(source, history, key_map)
-            tables[name] = self.spark.table(prepared[name].loading)
+            self.keep_history(source, rows, location)
+            self._redo(source)
+            newest = max(newest, self._loads(f"{HISTORY}.{source.source_name}")[-1].batch)
+        view = replace(self, batch_id=newest)
+        for source in members:
+            history, name = view.current_history(source), source.source_name
+            key_map = view.assign_keys(source, history, keep=newest > self.batch_id)
+            prepared[name] = view.build_dimension(source, history, key_map)
+            tables[name] = read_entry(self.spark, prepared[name])
         for spec in facts:
             rows = self.fact_rows(spec, sources[spec.source], staged[spec.source])
-            prepared[spec.name] = self.build_fact(spec, rows, tables, sources)
-            tables[spec.name] = self.spark.table(prepared[spec.name].loading)
+            prepared[spec.name] = view.build_fact(spec, rows, tables, sources)
+            tables[spec.name] = read_entry(self.spark, prepared[spec.name])
