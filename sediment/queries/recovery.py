@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from sediment.plans import warehouse
 from sediment.queries.edges import MOVED, _moved, _source
 from sediment.queries.oracle import CUSTOMER, T1, T2, T3, columns
-from sediment.queries.registry import query
+from sediment.queries.registry import _fresh_name, query
 from sediment.queries.snapshots import FIRST, SECOND, THIRD, table
-from sediment.session import materialise
+from sediment.session import materialise, scratch_path
+from sediment.sinks import files as file_sinks
 from sediment.sinks.publication import read_published
-from sediment.sources import tables
+from sediment.sources import files, tables
+from sediment.streaming import arrivals, ledger
 
 ORACLE: dict[str, str] = {}
 
@@ -117,3 +119,56 @@ def warehouse_replay_older_dimension(spark, sf_dir):
 ORACLE["warehouse_replay_older_dimension"] = f"""
 select row_number() over (order by c_custkey) as surrogate_key, {columns(CUSTOMER)},
        case when c_mktsegment in ('BUILDING', 'FURNITURE') then {T3} else {T1} end as valid_from from customer"""
+
+
+def _arrivals(spark, sf_dir):
+    """A landed load, a file whose name tells no load, and a csv file among the JSON ones."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    root = scratch_path(spark, "staged")
+    file_sinks.land(customer.where("c_mktsegment NOT IN ('BUILDING', 'FURNITURE')"), root, "customer_api", FIRST, "json")
+    folder = f"{root}/customer_api/{files.STAGED}"
+    customer.where("c_mktsegment = 'BUILDING'").write.json(f"{folder}/api_export.json")
+    customer.where("c_mktsegment = 'FURNITURE'").write.csv(files.staged_path(root, "customer_api", SECOND, "csv"))
+    good, aside = scratch_path(spark, "good"), scratch_path(spark, "errored")
+    arrived = ledger.Ledger(root, "customer_api", "json", customer.schema, _fresh_name(spark, "customer_api"), move=True)
+    handler = arrived.handler(lambda rows, load, at: arrivals.replace_batch(good)(rows, load), arrivals.replace_batch(aside))
+    for _ in range(2):  # the second finds nothing to do
+        stream = arrivals.read_arrivals(spark, root, "customer_api", "json", customer.schema)
+        arrivals.on_arrival(stream, handler, scratch_path(spark, "offsets")).awaitTermination()
+    return root, customer.schema, arrived, spark.read.parquet(good), spark.read.parquet(aside)
+
+
+@query
+def stream_misnamed_file(spark, sf_dir):
+    """Records of files that belong to no load are set aside, whole; those of the load are handled."""
+    _, _, _, good, aside = _arrivals(spark, sf_dir)
+    key = F.coalesce(F.get_json_object("record", "$.c_custkey"), F.substring_index("record", ",", 1)).cast("bigint")
+    kept = good.select("c_custkey", "c_mktsegment", F.lit("handled").alias("outcome"), "batch_id")
+    return kept.unionByName(aside.select(key.alias("c_custkey"), F.lit("set aside").alias("outcome"), "batch_id"), allowMissingColumns=True)
+
+
+_STRAY = "c_mktsegment in ('BUILDING', 'FURNITURE')"
+ORACLE["stream_misnamed_file"] = f"""
+select c_custkey, case when not {_STRAY} then c_mktsegment end as c_mktsegment,
+       case when {_STRAY} then 'set aside' else 'handled' end as outcome,
+       cast(case when {_STRAY} then 0 else 20260101000000 end as bigint) as batch_id from customer"""
+
+
+@query
+def stream_files_moved(spark, sf_dir):
+    """Afterwards each file is in the folder that its outcome tells, as the ledger has it."""
+    root, schema, arrived, _, _ = _arrivals(spark, sf_dir)
+    loaded = files.read_staged(spark, root, "customer_api", "json", schema, files.LOADED).select("c_custkey", "staged_state")
+    errored = spark.read.option("recursiveFileLookup", True).text(f"{root}/customer_api/{files.ERRORED}")
+    key = F.coalesce(F.get_json_object("value", "$.c_custkey"), F.substring_index("value", ",", 1)).cast("bigint")
+    there = loaded.unionByName(errored.select(key.alias("c_custkey"), F.lit(files.ERRORED).alias("staged_state")))
+    left = files.staged_files(spark, root, "customer_api", "json").count()
+    noted = arrived.files(spark).groupBy("outcome").agg(F.count_distinct("staged_at").alias("loads"))
+    noted = noted.withColumn("staged_state", F.when(F.col("outcome") == "loaded", files.LOADED).otherwise(files.ERRORED))
+    return there.join(noted, "staged_state").withColumn("left", F.lit(left).cast("bigint"))
+
+
+ORACLE["stream_files_moved"] = f"""
+select c_custkey, case when {_STRAY} then '00_errored_files' else '01_loaded_files' end as staged_state,
+       case when {_STRAY} then 'errored' else 'loaded' end as outcome,
+       cast(case when {_STRAY} then 0 else 1 end as bigint) as loads, cast(0 as bigint) as "left" from customer"""

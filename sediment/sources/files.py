@@ -182,18 +182,44 @@ def by_lines(file_type: str, lines: bool | None) -> bool:
     return file_type == "json" if lines is None else lines
 
 
-def staged_loads(spark: SparkSession, root: str, source: str, file_type: str, state: str = STAGED) -> DataFrame:
-    """The loads of a source: ``staged_at`` and ``path``, the folder (or file) of each.
+def staged_files(spark: SparkSession, root: str, source: str, file_type: str, state: str = STAGED) -> DataFrame:
+    """The files of a source in one state: ``file``, ``length``, ``modified``, and the load they belong to.
 
-    Paths only; no file is read.
+    A load is named by ``staged_at`` and ``path``, its folder or file; both are null where
+    a file's place or name does not tell a load of the source. Listing only; no file is read.
     """
     base = f"{root.rstrip('/')}/{source}/{state}"
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    placed = with_staged_path(found.select(F.col("path").alias("file")), state, "file")
+    listed = found.select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"))
+    placed = with_staged_path(listed, state, "file")
     below = F.substring_index("file", f"/{state}/", -1)
     whole = F.concat(F.substring_index("file", f"/{state}/", 1), F.lit(f"/{state}/"), F.substring_index(below, "/", 4))
-    named = placed.where(F.col("staged_at").isNotNull() & whole.endswith(f".{file_type}"))
-    return named.select("staged_at", whole.alias("path")).distinct()
+    name = F.substring_index(F.substring_index(below, "/", 4), "/", -1)
+    # The day in the path must be that in the name, as ``land`` has it.
+    day = F.concat_ws("/", F.date_format("staged_at", "yyyy/MM/dd"), name)
+    fits = F.col("staged_at").isNotNull() & name.startswith(f"{source}_") & name.endswith(f".{file_type}")
+    fits = F.coalesce(fits & (F.substring_index(below, "/", 4) == day), F.lit(False))
+    return placed.select(
+        "file",
+        "length",
+        "modified",
+        F.when(fits, F.col("staged_at")).alias("staged_at"),
+        F.when(fits, whole).alias("path"),
+    )
+
+
+def staged_loads(spark: SparkSession, root: str, source: str, file_type: str, state: str = STAGED) -> DataFrame:
+    """The loads of a source: ``staged_at`` and ``path``, the folder (or file) of each.
+
+    Paths only; no file is read. Files that belong to no load are left out: see ``misplaced_files``.
+    """
+    found = staged_files(spark, root, source, file_type, state)
+    return found.where(F.col("path").isNotNull()).select("staged_at", "path").distinct()
+
+
+def misplaced_files(spark: SparkSession, root: str, source: str, file_type: str, state: str = STAGED) -> DataFrame:
+    """Files of a source, ``file`` and ``length``, whose place or name does not tell a load."""
+    return staged_files(spark, root, source, file_type, state).where(F.col("path").isNull()).select("file", "length")
 
 
 def empty_files(spark: SparkSession, path: str) -> DataFrame:

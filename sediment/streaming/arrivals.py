@@ -18,6 +18,7 @@ from sediment.sources.files import (
     as_schema,
     by_lines,
     format_options,
+    misplaced_files,
     read_files,
     staged_loads,
     with_staged_path,
@@ -152,11 +153,14 @@ def per_load(
     however many of its files the batch holds. A load whose later files come in another
     batch runs again, and so do the loads after it, which were compared with less. So
     ``handle`` must replace what an earlier run of that load wrote. Files must stay in the
-    staged tree: this does not go with ``archive``.
+    staged tree, and one that belongs to no load is an error: ``Ledger`` sets such files
+    aside, and moves the others once they are handled.
     """
 
     def run(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
+        if strays := misplaced_files(spark, root, source, file_type).take(3):
+            raise ValueError(f"files that belong to no load of '{source}': {[row.file for row in strays]}")
         first = rows.agg(F.min("staged_at")).first()[0]
         if first is None:
             return
