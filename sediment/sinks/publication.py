@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from sediment.functions.columns import refuse_columns
 from sediment.functions.types import table_ddl
-from sediment.sinks.tables import ensure_schema
+from sediment.sinks.tables import ensure_schema, quoted
 from sediment.sources.tables import table_exists
 
 # The schema of versions and manifest, and the column that tells versions apart.
@@ -42,10 +42,6 @@ class Entry:
     age: int = 0
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _plain(table: str) -> str:
     return table.replace("`", "")
 
@@ -62,7 +58,7 @@ def _replace_manifest(spark: SparkSession, entries: Sequence[Entry]) -> None:
     ensure_schema(spark, RUNS)
     columns = "table_name, storage, version, batch_id, age"
     if entries:
-        rows = [[_text(v) if isinstance(v, str) else f"{v}L" for v in astuple(entry)] for entry in entries]
+        rows = [[quoted(v) if isinstance(v, str) else f"{v}L" for v in astuple(entry)] for entry in entries]
         source = "VALUES " + ", ".join(f"({', '.join(row)})" for row in rows) + f" AS m({columns})"
     else:
         source = f"VALUES ('', '', '', 0L, 0L) AS m({columns}) WHERE table_name <> ''"
@@ -109,7 +105,7 @@ def prepare_version(
         spark.sql(f"CREATE TABLE {storage} ({columns}) USING parquet PARTITIONED BY ({VERSION})")
     entry = Entry(table, storage, version, batch_id)
     try:
-        spark.sql(f"INSERT INTO {storage} PARTITION ({VERSION}={_text(version)}) SELECT * FROM {{rows}}", rows=df)
+        spark.sql(f"INSERT INTO {storage} PARTITION ({VERSION}={quoted(version)}) SELECT * FROM {{rows}}", rows=df)
     except Exception:
         discard_version(spark, entry)
         raise
@@ -118,7 +114,7 @@ def prepare_version(
 
 def discard_version(spark: SparkSession, entry: Entry) -> None:
     """Remove a version, and its storage if the manifest names no version there."""
-    spark.sql(f"ALTER TABLE {entry.storage} DROP IF EXISTS PARTITION ({VERSION}={_text(entry.version)})")
+    spark.sql(f"ALTER TABLE {entry.storage} DROP IF EXISTS PARTITION ({VERSION}={quoted(entry.version)})")
     if all(known.storage != entry.storage for known in manifest(spark)):
         spark.sql(f"DROP TABLE IF EXISTS {entry.storage}")
 
@@ -126,7 +122,7 @@ def discard_version(spark: SparkSession, entry: Entry) -> None:
 def _lookup(spark: SparkSession, entry: Entry) -> str:
     """The text of the view that a name stands for."""
     names = ", ".join(f"`{name}`" for name, _ in _columns(spark.table(entry.storage)))
-    where = f"table_name = {_text(entry.table)} AND storage = {_text(entry.storage)}"
+    where = f"table_name = {quoted(entry.table)} AND storage = {quoted(entry.storage)}"
     newest = f"SELECT min_by(version, age) FROM {MANIFEST} WHERE {where}"
     return f"SELECT {names} FROM {entry.storage} WHERE {VERSION} = ({newest})"
 
@@ -214,7 +210,7 @@ def expire_versions(spark: SparkSession, tables: Iterable[str]) -> int:
         for row in spark.sql(f"SHOW PARTITIONS {storage}").collect():
             version = row[0].partition("=")[2]
             if (storage, version) not in kept:
-                spark.sql(f"ALTER TABLE {storage} DROP IF EXISTS PARTITION ({VERSION}={_text(version)})")
+                spark.sql(f"ALTER TABLE {storage} DROP IF EXISTS PARTITION ({VERSION}={quoted(version)})")
                 gone += 1
         if all(entry.storage != storage for entry in named):
             spark.sql(f"DROP TABLE IF EXISTS {storage}")

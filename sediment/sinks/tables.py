@@ -116,7 +116,7 @@ def load_table(
 
 
 @contextmanager
-def _own_partitions_only(spark: SparkSession) -> Iterator[None]:
+def own_partitions_only(spark: SparkSession) -> Iterator[None]:
     """Overwriting inserts replace only the partitions they write.
 
     An insert into a table takes this from the session, not from the writer. The handlers
@@ -169,7 +169,7 @@ def write_batch(
     place = F.struct(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"p{i}") for i, c in enumerate(layout)])
     counted = aligned.observe(counter, *measures, F.to_json(F.collect_set(place), {"ignoreNullFields": "false"}).alias("_written"))
     before = _partitions(spark, table, batch_id)
-    with _own_partitions_only(spark):
+    with own_partitions_only(spark):
         counted.write.mode("overwrite").insertInto(table)
     found = dict(counter.get)
     written = {tuple(entry.values()) for entry in json.loads(found.pop("_written") or "[]")}
@@ -187,6 +187,11 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def quoted(text: str) -> str:
+    """A text as a literal."""
+    return f"'{_quoted(text)}'"
+
+
 def _partitions(spark: SparkSession, table: str, batch_id: int) -> set[tuple[str | None, ...]]:
     """The values of a batch's partitions, which their folder names hold escaped."""
     rows = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({BATCH}={batch_id})").collect()
