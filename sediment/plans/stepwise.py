@@ -23,14 +23,14 @@ from sediment.functions.types import table_ddl
 from sediment.operators.compare import DELETED, NullSafeKeys
 from sediment.operators.history import latest_version
 from sediment.operators.model import aggregate, measure_columns
-from sediment.sinks.tables import BATCH, align, ensure_schema, own_partitions_only
+from sediment.sinks.tables import BATCH, align, batches, ensure_schema, own_partitions_only
 from sediment.sources.tables import read_table, table_exists
 
 STEP, BUCKET = "_step", "_bucket"
 # The table property that notes the steps.
 STEPS = "sediment.steps"
-#: Newest rows per bucket, about; and how far buckets may outgrow it.
-BUCKET_ROWS, OUTGROWN = 1 << 20, 4
+#: Newest rows per bucket, about, how far buckets may outgrow it, and the most buckets, which then grow.
+BUCKET_ROWS, OUTGROWN, MOST_BUCKETS = 1 << 15, 4, 1 << 15
 #: The inverse share of all totals that the changes of steps may reach before they are added up.
 ADDED_UP = 4
 
@@ -77,7 +77,7 @@ class Steps:
             self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({STEP}={step}, {BUCKET}={bucket})")
 
     def write(self, rows: DataFrame, step: int) -> int:
-        """Write a step's rows, which have their ``_bucket``, in place of what an attempt that was cut off wrote."""
+        """Write a step's rows, dealt by their ``_bucket``, in place of what an attempt that was cut off wrote."""
         laid_out = rows.select(*[c for c in rows.columns if c != BUCKET], F.lit(step).alias(STEP), F.col(BUCKET))
         if not table_exists(self.spark, self.table):
             ensure_schema(self.spark, self.table.split(".")[0])
@@ -85,7 +85,7 @@ class Steps:
             self.spark.sql(f"CREATE TABLE {self.table} ({ddl}) USING parquet PARTITIONED BY ({STEP}, {BUCKET})")
         self.drop([part for part in self.parts() if part[0] >= step])
         with own_partitions_only(self.spark):
-            align(laid_out, self.table).repartition(BUCKET).write.mode("overwrite").insertInto(self.table)
+            align(laid_out, self.table).write.mode("overwrite").insertInto(self.table)
         return read_table(self.spark, self.table).where(F.col(STEP) == step).count()
 
 
@@ -197,15 +197,20 @@ class NewestRows:
     def _start(self, load: int, steps: Sequence[Step]) -> list[Step]:
         """Draw the newest rows from the whole log."""
         log = read_table(self.spark, self.log).where(F.col(BATCH) <= load)
-        newest = self._hashed(latest_version(log, as_list(self.keys), self._newest_first()))
-        return self._whole(newest, log.count(), load, steps)
-
-    def _whole(self, newest: DataFrame, about: int, load: int, steps: Sequence[Step]) -> list[Step]:
-        n = max(1, -(-about // self.bucket_rows))
-        parts = self.steps.parts() if steps else []
-        number = _next(steps, parts)
-        rows = self.steps.write(newest.withColumn(BUCKET, self._bucket(newest, n)), number)
-        done = [*[step for step in steps if step.load <= load][-1:], Step(number, load, n, rows, note=self._covers)]
+        one_load = sum(known <= load for known in batches(self.spark, self.log)) == 1  # with each key once
+        return self._whole(self._hashed(log), log.count(), load, steps, ranked=not one_load)
+
+    def _newest_of(self, rows: DataFrame, n: int) -> DataFrame:
+        """The newest row of each key, dealt by buckets once, for the rank and the files."""
+        dealt = rows.withColumn(BUCKET, self._bucket(rows, n)).repartition(BUCKET)
+        return latest_version(dealt, [BUCKET, *as_list(self.keys)], self._newest_first())
+
+    def _whole(self, rows: DataFrame, about: int, load: int, steps: Sequence[Step], ranked: bool) -> list[Step]:
+        n = min(MOST_BUCKETS, max(1, -(-about // self.bucket_rows)))
+        number = _next(steps, self.steps.parts() if steps else [])
+        newest = self._newest_of(rows, n) if ranked else rows.withColumn(BUCKET, self._bucket(rows, n)).repartition(BUCKET)
+        written = self.steps.write(newest, number)
+        done = [*[step for step in steps if step.load <= load][-1:], Step(number, load, n, written, note=self._covers)]
         self.steps.note(done)
         return done
 
@@ -215,13 +220,12 @@ class NewestRows:
         n = self._n(steps)
         touched = self.buckets_of(changes, steps)
         both = self.rows(steps, touched).unionByName(changes)
-        newest = latest_version(both, as_list(self.keys), self._newest_first())
         number = _next(steps, self.steps.parts())
-        rows = self.steps.write(newest.withColumn(BUCKET, self._bucket(newest, n)), number) if touched else 0
+        rows = self.steps.write(self._newest_of(both, n), number) if touched else 0
         done = [*steps, Step(number, load, 0, rows, note=self._covers)]
-        if rows > len(touched) * self.bucket_rows * OUTGROWN:
+        if n < MOST_BUCKETS and rows > len(touched) * self.bucket_rows * OUTGROWN:
             whole = self.rows(done)
-            return self._whole(whole, self.rows(done).count(), load, done)
+            return self._whole(whole, whole.count(), load, done, ranked=False)
         self.steps.note(done)
         return done
 
@@ -264,7 +268,8 @@ class Totals:
 
     def _bucket(self, rows: DataFrame, state: Sequence[Step]) -> DataFrame:
         """There are no more groups than rows, so what buckets are enough for those are for these."""
-        return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*self.group_by), F.lit(self.newest._n(state))).cast("int"))
+        bucket = F.pmod(F.xxhash64(*self.group_by), F.lit(self.newest._n(state))).cast("int")
+        return rows.withColumn(BUCKET, bucket).repartition(BUCKET)
 
     def _kinds(self, rows: DataFrame) -> tuple[list[tuple[str, str, str]], dict[str, tuple[str, str]]]:
         """Measures that change by differences, with function and column, and the others."""
