@@ -15,7 +15,7 @@ from sediment.queries.snapshots import FIRST, SECOND, THIRD, table
 from sediment.session import materialise, scratch_path
 from sediment.sinks import files as file_sinks
 from sediment.sinks.publication import read_published
-from sediment.sources import files, tables
+from sediment.sources import arrays, files, payload, tables
 from sediment.streaming import arrivals, ledger
 
 ORACLE: dict[str, str] = {}
@@ -172,3 +172,27 @@ ORACLE["stream_files_moved"] = f"""
 select c_custkey, case when {_STRAY} then '00_errored_files' else '01_loaded_files' end as staged_state,
        case when {_STRAY} then 'errored' else 'loaded' end as outcome,
        cast(case when {_STRAY} then 0 else 1 end as bigint) as loads, cast(0 as bigint) as "left" from customer"""
+
+
+@query
+def json_array_split(spark, sf_dir):
+    """One file with one array of all customers, read in blocks that end at any byte; some records do not fit."""
+    customer = table(spark, sf_dir, "customer")
+    name = F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit('"},{"'), "c_name", F.lit("\\"))).otherwise(F.col("c_name"))
+    key = F.when(F.col("c_mktsegment") == "FURNITURE", F.concat(F.lit("no "), "c_custkey")).otherwise(F.col("c_custkey").cast("string"))
+    key = F.when(F.col("c_mktsegment") == "FURNITURE", F.to_json(F.struct(key.alias("c_custkey")))).otherwise(
+        F.to_json(F.struct("c_custkey", name.alias("c_name"), "c_mktsegment"))
+    )
+    path = scratch_path(spark, "array")
+    whole = customer.agg(F.concat(F.lit("["), F.array_join(F.collect_list(key), ",\n"), F.lit("]")).alias("value"))
+    whole.write.text(path)
+    found = arrays.parse_arrays(spark, path, customer.select("c_custkey", "c_name", "c_mktsegment").schema, 8 << 10)
+    good = payload.good_records(found).withColumn("outcome", F.lit("record"))
+    return good.unionByName(payload.errored_records(found).select("outcome", "element"), allowMissingColumns=True)
+
+
+ORACLE["json_array_split"] = """
+select c_custkey, case when c_mktsegment = 'BUILDING' then '"},{"' || c_name || chr(92) else c_name end as c_name, c_mktsegment,
+       'record' as outcome, null as element from customer where c_mktsegment <> 'FURNITURE'
+union all select null, null, null, 'corrupt_record', '{"c_custkey":"no ' || c_custkey || '"}' from customer
+where c_mktsegment = 'FURNITURE'"""

@@ -2,6 +2,9 @@
 
 import json
 import logging
+import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
@@ -334,3 +337,18 @@ def test_errored_payloads_are_set_aside(spark, tmp_path, landed):
     assert spark.read.parquet(out).count() == 3
     aside = files.read_staged(spark, root, "api", "json", state=files.ERRORED)
     assert {r.outcome for r in aside.collect()} == {"corrupt_record", "corrupt_file"}
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "sediment.llm", "corpus_pipeline"])
+def test_the_other_queries_need_nothing_of_the_text_operators(missing):
+    code = (
+        "import sys\n"
+        f"sys.modules[{missing!r}] = None\n"
+        "import __spark_entry__ as entry\n"
+        "from sediment.queries import QUERIES\n"
+        "assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(QUERIES)\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert missing in done.stderr
