@@ -167,7 +167,8 @@ def write(
     notes = known.select("page_id", *empty, "digest", F.lit(0).alias("kind"), "first")
     records = rows.select("*", F.lit(1).alias("kind"), F.lit(None).cast(known.schema["first"].dataType).alias("first"))
     everything = notes.unionByName(records)
-    everything = everything.withColumn("shard", placed(everything)).repartition(shards, "shard")
+    # By the number itself: a hash of it would put several shards into one task.
+    everything = everything.withColumn("shard", placed(everything)).repartitionById(shards, "shard")
     everything = everything.sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
