@@ -20,9 +20,19 @@ from pyspark.sql import functions as F
 from sediment.session import materialise
 
 
+# Schemes of Hadoop's file systems for a store, with the store's own.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def own_scheme(uri: str) -> str:
+    """The path with the scheme that pyarrow knows its store by."""
+    scheme, mark, rest = uri.partition("://")
+    return SCHEMES.get(scheme, scheme) + mark + rest
+
+
 def located(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path and the path in it; a scheme pyarrow lacks is an error."""
-    return fs.FileSystem.from_uri(uri)
+    """The file system of a path and the path in it; a scheme that pyarrow lacks is an error."""
+    return fs.FileSystem.from_uri(own_scheme(uri))
 
 
 def temporary(name: str) -> str:

@@ -8,6 +8,7 @@ import os
 import pytest
 
 from sediment.llm import files, warc
+from sediment.session import scratch_path
 
 SCHEMA = "page_id long, url string, html string, digest string, shard string, kind string"
 
@@ -98,3 +99,17 @@ def test_damage_is_found(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     folder, manifest = archive(spark.createDataFrame([], SCHEMA), tmp_path, "a")
     assert manifest.collect() == [] and warc.read(folder, manifest).collect() == []
+
+
+def test_stores_of_hadoop_are_found_by_their_own_scheme():
+    paths = ("s3a://bucket/a", "s3n://bucket/a", "s3://bucket/a", "gs://bucket/a", "file:///a", "/a")
+    assert [files.own_scheme(path) for path in paths] == ["s3://bucket/a"] * 3 + ["gs://bucket/a", "file:///a", "/a"]
+
+
+def test_shards_are_about_equal(spark):
+    rows = [(k, "u", f"{k:05d}" * 40) for k in range(2000)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-shards")
+    manifest = warc.write(frame, folder, shard_bytes=10_000).collect()
+    records = [row["records"] for row in manifest]
+    assert len(manifest) >= 35 and max(records) < 3 * sorted(records)[len(records) // 2]
