@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import astuple, dataclass, field, replace
 from datetime import datetime
 
@@ -29,8 +30,23 @@ from sediment.operators.history import (
 from sediment.operators.keys import UNKNOWN_MEMBER, surrogate_keys
 from sediment.operators.model import aggregate, dimension, fact, point_in_time
 from sediment.operators.quality import ForeignKey, PrimaryKey, enforce_keys
+from sediment.operators.skew import lookup_join
 from sediment.session import materialise
-from sediment.sinks.publication import Entry, discard_version, prepare_version, publish_versions, read_entry, settle
+from sediment.sinks.publication import (
+    GONE,
+    KEY,
+    Entry,
+    discard_version,
+    identified,
+    last_changes,
+    may_carry_on,
+    prepare_changes,
+    prepare_version,
+    publish_versions,
+    read_entry,
+    settle,
+    states,
+)
 from sediment.sinks.tables import BATCH, batches, prepare_table, publish_table, replace_table, write_batch
 from sediment.sources.control import Source, control_frame
 from sediment.sources.files import FILE_TYPES, read_files
@@ -45,6 +61,8 @@ Transform = Callable[..., DataFrame]
 # current versions that may change before a run writes them all again.
 LOADS = "sediment.loads"
 REWRITE = 4
+# The table property that notes which attempt at a load a fact's rows are from.
+ATTEMPTS = "sediment.attempts"
 #: Loads whose input stays noted, so that they can be done again after an older one is.
 REDONE = 32
 
@@ -151,6 +169,11 @@ class Warehouse:
     unknown_member: bool = False
     #: Called for each table as it is published; an error undoes the publication of all.
     announce: Callable[[Entry], None] | None = None
+    #: Dimensions whose transformation treats each row by itself and is the same in each run:
+    #: those of changed members alone are transformed and written. One without any is such.
+    row_wise: Collection[str] = ()
+    #: Write dimensions and facts whole whatever has changed.
+    rebuild: bool = False
 
     def stage(self, source: Source, data: DataFrame) -> DataFrame:
         """Recreate the staging table of a source."""
@@ -305,9 +328,11 @@ class Warehouse:
                 raise
             return read_table(self.spark, table).drop(*RESERVED).limit(0)  # it staged none
 
-    def _current(self, table: str, keys: Sequence[str], load: Load) -> DataFrame:
-        """The current versions after a load."""
+    def _current(self, table: str, keys: Sequence[str], load: Load, since: int | None = None) -> DataFrame:
+        """The current versions after a load; with ``since`` those alone that runs after that one opened."""
         rows = read_table(self.spark, table).where(F.col(BATCH).between(load.base, load.batch))
+        if since is not None:
+            rows = rows.where(F.col(BATCH) > since)
         opened = rows.where("is_current")
         if load.batch > load.base:
             closed = rows.where(~F.col("is_current") & (F.col(BATCH) > load.base))
@@ -350,14 +375,57 @@ class Warehouse:
         return read_table(self.spark, table).where(F.col(BATCH) <= self.batch_id).drop(BATCH)
 
     def build_dimension(self, source: Source, history: DataFrame, key_map: DataFrame) -> Entry:
-        """The rows of a dimension, written and not yet published."""
-        rows = transform(
-            dimension(history, key_map, list(source.primary_key)), source.source_name, source, self.transforms
-        )
-        if self.unknown_member:
-            unknown = self.spark.createDataFrame([(UNKNOWN_MEMBER,)], "surrogate_key bigint")
-            rows = rows.unionByName(unknown, allowMissingColumns=True)
-        return prepare_version(rows, f"{DIMENSIONS}.{source.source_name}", self.batch_id)
+        """The rows of a dimension, written and not yet published.
+
+        Where the dimension as published stands for an earlier load of a type 2 history, only
+        the members that have versions opened or closed since are written, with a mark for
+        those that are no more. It is written whole when its history is: then a quarter of
+        the members has changed.
+        """
+        name, table, keys = source.source_name, f"{DIMENSIONS}.{source.source_name}", list(source.primary_key)
+
+        def shaped(versions: DataFrame) -> DataFrame:
+            rows = transform(dimension(versions, key_map, keys), name, source, self.transforms)
+            if self.unknown_member:
+                unknown = self.spark.createDataFrame([(UNKNOWN_MEMBER,)], "surrogate_key bigint")
+                rows = rows.unionByName(unknown, allowMissingColumns=True)
+            return rows
+
+        rows = shaped(history)
+        by_row = name not in self.transforms or name in self.row_wise
+        if source.scd_type == 1 or not by_row or "surrogate_key" not in rows.columns:
+            return prepare_version(rows, table, self.batch_id)
+        rows, load = identified(rows, ["surrogate_key"]), self._own_load(source)
+        found = self._carried(source, table, rows, load)
+        if found is None:
+            return prepare_version(rows, table, self.batch_id, made_from=load.attempt)
+        state, since = found
+        fresh = identified(shaped(self._current(f"{HISTORY}.{name}", keys, load, since)), ["surrogate_key"])
+        touched = dimension(self._touched(source, load, since).select(*keys).distinct(), key_map, keys)
+        unknown = self.spark.createDataFrame([(UNKNOWN_MEMBER,)], "surrogate_key bigint")
+        touched = touched.select("surrogate_key").unionByName(unknown)  # it may be wanted no longer
+        gone = touched.select(F.struct("surrogate_key").alias(KEY)).join(fresh.select(KEY), KEY, "left_anti")
+        marks = gone.withColumn(GONE, F.lit(True))
+        changes = fresh.unionByName(marks, allowMissingColumns=True)
+        return prepare_changes(changes, state, self.batch_id, load.attempt)
+
+    def _carried(self, source: Source, table: str, rows: DataFrame, load: Load) -> tuple[Entry, int] | None:
+        """The newest state of a dimension that changes can follow, and the load that it stands for.
+
+        Its load must be one that this load was derived from. An attempt that was replaced
+        since is none.
+        """
+        loads = {one.attempt: one for one in self._loads(f"{HISTORY}.{source.source_name}") if one.batch <= load.batch}
+        for state in [] if self.rebuild else states(self.spark, table):
+            then = loads.get(state.made_from) if state.made_from else None
+            if then and load.base <= then.batch and may_carry_on(rows, state):
+                return state, then.batch
+        return None
+
+    def _touched(self, source: Source, load: Load, since: int) -> DataFrame:
+        """Versions that runs after a load, up to another, opened or closed."""
+        rows = read_table(self.spark, f"{HISTORY}.{source.source_name}")
+        return rows.where((F.col(BATCH) > since) & (F.col(BATCH) <= load.batch))
 
     def fact_rows(self, spec: Fact, source: Source, staged: DataFrame) -> DataFrame:
         """All rows a fact stands for after this load, and after later ones if there are any.
@@ -365,11 +433,19 @@ class Warehouse:
         Each load keeps its rows as partitions of its own. A full load counts alone; a
         delta load adds to those since the last full one, the newest row of a key counting.
         """
+        return self._fact_log(spec, source, staged)[0].drop(BATCH)
+
+    def _fact_log(self, spec: Fact, source: Source, staged: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+        """The same with the load that brought each row, the last full load, and the newest."""
         table = f"{FACTS}.{spec.name}_rows"
         keys = list(source.primary_key)
         refuse_columns(staged, [BATCH, "is_full"], "a fact's rows")
         checked = unique_by(staged, keys, "new").withColumn("is_full", F.lit(not source.delta))
+        if table_exists(self.spark, table):  # before the rows: no state may be taken for one made from them
+            self._note_attempt(table)
         write_batch(checked, table, self.batch_id, ["is_full"])
+        if str(self.batch_id) not in self._attempts(table):
+            self._note_attempt(table)
         parts = [row[0].split("/") for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()]
         loads = {int(batch.split("=")[1]): full == "is_full=true" for batch, full in parts}
         # A load without rows leaves no partition.
@@ -379,7 +455,18 @@ class Warehouse:
         rows = read_table(self.spark, table).where(F.col(BATCH).between(base, newest))
         if base < newest:
             rows = latest_version(rows, keys, [F.col(BATCH).desc()])
-        return rows.drop(BATCH, "is_full")
+        return rows.drop("is_full"), (base, newest)
+
+    def _attempts(self, table: str) -> dict[str, str]:
+        """The attempt that each load's rows of a fact are from."""
+        if not table_exists(self.spark, table):
+            return {}
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == ATTEMPTS).collect()
+        return json.loads(found[0]["value"]) if found else {}
+
+    def _note_attempt(self, table: str) -> None:
+        noted = json.dumps(self._attempts(table) | {str(self.batch_id): uuid.uuid4().hex[:8]})
+        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{ATTEMPTS}' = '{noted}')")
 
     def build_fact(
         self,
@@ -387,9 +474,74 @@ class Warehouse:
         source_rows: DataFrame,
         dimensions: Mapping[str, DataFrame],
         sources: Mapping[str, Source] | None = None,
+        members: Mapping[str, Entry] | None = None,
+        loads: tuple[int, int] | None = None,
     ) -> Entry:
-        """The rows of a fact, written and not yet published."""
-        rows = source_rows
+        """The rows of a fact, written and not yet published.
+
+        Given the prepared ``members`` and the last full and the newest of ``loads``, source
+        rows come with their load, and only some are written where the fact as published can
+        be carried on: those of later loads, and those whose members have come, gone or,
+        under ``as_of``, changed since.
+        """
+        table = f"{FACTS}.{spec.name}"
+        if spec.grain or not loads:
+            return prepare_version(self._fact(spec, source_rows.drop(BATCH), dimensions, sources), table, self.batch_id)
+        keys, full, newest = list(sources[spec.source].primary_key), loads[0], max(self.batch_id, loads[1])
+        used = {name: members[name] for name, _ in spec.dimensions.values()}
+        made_from = self._fact_origin(spec, newest, {name: entry.state for name, entry in used.items()})
+        followed = {name: entry.follows for name, entry in used.items()}
+        for state in [] if self.rebuild else states(self.spark, table):
+            if full > state.batch_id or state.made_from != self._fact_origin(spec, state.batch_id, followed):
+                continue
+            rows = source_rows.withColumn("_wanted", F.col(BATCH) > state.batch_id)
+            for key in spec.dimensions:
+                rows = self._mark_affected(rows, spec, key, used, sources)
+            changes = self._fact(spec, rows.where("_wanted").drop("_wanted"), dimensions, sources, keys)
+            if may_carry_on(changes, state):
+                return prepare_changes(changes, state, newest, made_from)
+        whole = self._fact(spec, source_rows, dimensions, sources, keys)
+        return prepare_version(whole, table, newest, made_from=made_from)
+
+    def _fact_origin(self, spec: Fact, batch_id: int, members: Mapping[str, str]) -> str:
+        """What a fact's state is made from: its definition, attempts at loads and states of dimensions."""
+        attempts = self._attempts(f"{FACTS}.{spec.name}_rows")
+        noted = {batch: attempt for batch, attempt in attempts.items() if int(batch) <= batch_id}
+        return hashlib.sha256(json.dumps([repr(spec), noted, members], sort_keys=True).encode()).hexdigest()
+
+    def _mark_affected(
+        self, rows: DataFrame, spec: Fact, key: str, members: Mapping[str, Entry], sources: Mapping[str, Source]
+    ) -> DataFrame:
+        """Mark rows of a fact as wanted that a change of a dimension since the state before may concern."""
+        name, references = spec.dimensions[key]
+        entry = members[name]
+        before = next(state for state in states(self.spark, f"{DIMENSIONS}.{name}") if state.state == entry.follows)
+        columns = [F.col(f"`{target}`").alias(column) for column, target in references.items()]
+        changes = last_changes(self.spark, entry)
+        numbers = changes.select(F.col(f"{KEY}.surrogate_key").alias("surrogate_key")).distinct()
+        old = read_entry(self.spark, before).join(numbers, "surrogate_key", "left_semi")
+        old, new = (side.select(*columns, "surrogate_key") for side in (old, changes.where(f"NOT {GONE}")))
+        found = old.exceptAll(new).unionByName(new.exceptAll(old)).drop("surrogate_key")
+        if key in spec.as_of:
+            load = self._own_load(sources[name])
+            loads = {one.attempt: one for one in self._loads(f"{HISTORY}.{name}")}
+            since = loads[before.made_from].batch
+            found = found.unionByName(self._touched(sources[name], load, since).select(*columns))
+        found = materialise(found.distinct().withColumn("_concerned", F.lit(True)), "concerned")
+        joined = lookup_join(rows, found, list(references), "left")
+        return joined.withColumn("_wanted", F.col("_wanted") | F.col("_concerned").isNotNull()).select(*rows.columns)
+
+    def _fact(
+        self,
+        spec: Fact,
+        rows: DataFrame,
+        dimensions: Mapping[str, DataFrame],
+        sources: Mapping[str, Source] | None,
+        keys: Sequence[str] = (),
+    ) -> DataFrame:
+        """The rows of a fact, with their source's keys if these are given."""
+        if keys:
+            rows = identified(rows.drop(BATCH), list(keys))
         for key, (at, attributes) in spec.as_of.items():
             name, references = spec.dimensions[key]
             members = self.full_history((sources or {})[name]).select(
@@ -400,10 +552,8 @@ class Warehouse:
             )
             rows = point_in_time(rows, members, list(references), at, list(attributes.values()))
         wanted = {key: (dimensions[name], references) for key, (name, references) in spec.dimensions.items()}
-        rows = fact(rows, wanted, spec.columns)
-        if spec.grain:
-            rows = aggregate(rows, spec.grain, spec.measures)
-        return prepare_version(rows, f"{FACTS}.{spec.name}", self.batch_id)
+        rows = fact(rows, wanted, [*spec.columns, *([KEY, GONE] if keys else [])])
+        return aggregate(rows, spec.grain, spec.measures) if spec.grain else rows
 
     def run(
         self,
@@ -477,6 +627,6 @@ class Warehouse:
             prepared[name] = view.build_dimension(source, history, key_map)
             tables[name] = read_entry(self.spark, prepared[name])
         for spec in facts:
-            rows = self.fact_rows(spec, sources[spec.source], staged[spec.source])
-            prepared[spec.name] = view.build_fact(spec, rows, tables, sources)
+            rows, loads = self._fact_log(spec, sources[spec.source], staged[spec.source])
+            prepared[spec.name] = view.build_fact(spec, rows, tables, sources, prepared, loads)
             tables[spec.name] = read_entry(self.spark, prepared[spec.name])
