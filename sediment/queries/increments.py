@@ -5,10 +5,13 @@ Like the others each reads whole tables and has SQL that gives the same rows.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from sediment.plans import medallion
-from sediment.queries.oracle import ORDER, T1, T2, columns
+from sediment.plans import medallion, warehouse
+from sediment.queries.edges import _sales, _source
+from sediment.queries.oracle import CUSTOMER, CUSTOMER_KEYS, ORDER, T1, T2, columns
 from sediment.queries.registry import _fresh_name, query
 from sediment.queries.snapshots import FIRST, LATER_ORDERS, SECOND, later_orders, table
 from sediment.sources import tables
@@ -93,3 +96,42 @@ union all select o_orderkey, {columns(ORDER)}, {T2}, status, 2 from delta
 union all select o_orderkey, {columns(ORDER)}, {T2}, 'gold', null from later
 union all select o_orderkey, {columns(ORDER)}, {T2}, 'gold', null from orders o
 where not exists (select 1 from later l where l.o_orderkey = o.o_orderkey)"""
+
+
+def _carried_on(spark, sf_dir):
+    """Two runs, of which the second closes and moves a few customers and brings the urgent orders anew."""
+    customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    people, full = _source(spark, "customer", "c_custkey"), _source(spark, "orders", "o_orderkey")
+    spec = _sales(spark, "sales", full, people)
+    segment = F.when(F.col("c_acctbal") > 9500, "MOVED").otherwise(F.col("c_mktsegment"))
+    moved = customer.where("c_acctbal >= -900").withColumn("c_mktsegment", segment)
+    urgent = later_orders(orders).where("o_orderpriority = '1-URGENT'")
+    delta = replace(full, load_type="Delta")
+    for batch, at, entry, members, sold in ((1, FIRST, full, customer, orders), (2, SECOND, delta, moved, urgent)):
+        data = {people.source_name: members, entry.source_name: sold}
+        warehouse.Warehouse(spark, batch, at).run([people, entry], [spec], data=data)
+    return f"dim.{people.source_name}", f"fact.{spec.name}"
+
+
+@query
+def warehouse_increment_dimension(spark, sf_dir):
+    """A dimension carried on by the members that a run changed; the others are not written again."""
+    return tables.read_table(spark, _carried_on(spark, sf_dir)[0]).select("surrogate_key", *CUSTOMER, "valid_from")
+
+
+ORACLE["warehouse_increment_dimension"] = f"""
+select surrogate_key, {columns(CUSTOMER)}, {T1} as valid_from from {CUSTOMER_KEYS} where c_acctbal between -900 and 9500
+union all select * replace ('MOVED' as c_mktsegment) from
+ (select surrogate_key, {columns(CUSTOMER)}, {T2} from {CUSTOMER_KEYS} where c_acctbal > 9500)"""
+
+
+@query
+def warehouse_increment_fact(spark, sf_dir):
+    """A fact carried on by the rows of a delta load, and by those whose member is no more."""
+    return tables.read_table(spark, _carried_on(spark, sf_dir)[1])
+
+
+ORACLE["warehouse_increment_fact"] = f"""
+with rows as (select * replace (case when o_orderpriority = '1-URGENT' then 'X' else o_orderstatus end as o_orderstatus) from orders)
+select coalesce(surrogate_key, -1) as customer_key, o_orderkey, {columns(ORDER)}
+from rows left join (select * from {CUSTOMER_KEYS} where c_acctbal >= -900) d on o_custkey = c_custkey"""

@@ -1,5 +1,6 @@
 """Dimensions and facts carried on by changes: equal to those written whole, and small."""
 
+import re
 from dataclasses import replace
 from datetime import timedelta
 from pathlib import Path
@@ -166,4 +167,4 @@ def test_a_small_change_writes_little(spark, tables):
         assert entry.changed <= 3
     view = read_table(spark, f"dim.{persons.source_name}")
     plan = view._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PartitionFilters: [(array_position(") == 2
+    assert len(re.findall(r"PartitionFilters: \[[^\n]*array_position\(", plan)) == 2
