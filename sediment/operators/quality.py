@@ -10,15 +10,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sediment.functions.columns import as_list, require_columns
-from sediment.operators.skew import lookup_join
+from sediment.operators.skew import aggregate_by_key, lookup_join
 from sediment.session import materialise
 
 
+def _counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    rows = df.select(*[F.col(f"`{key}`") for key in keys])
+    return aggregate_by_key(rows, keys, F.count(F.lit(1)).alias("n"))
+
+
 def duplicate_keys(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Keys held by more than one row, nulls equal, with the number of rows."""
     keys = as_list(keys)
     require_columns({"table": df}, keys, "key columns")
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return _counted(df, keys).where("n > 1")
 
 
 def primary_key_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -26,7 +31,7 @@ def primary_key_violations(df: DataFrame, keys: str | Sequence[str]) -> DataFram
     keys = as_list(keys)
     require_columns({"table": df}, keys, "key columns")
     has_null = reduce(lambda a, b: a | b, [F.col(f"`{key}`").isNull() for key in keys])
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = _counted(df, keys)
     rule = F.when(has_null, "null").when(F.col("n") > 1, "duplicate")
     return counted.withColumn("rule", rule).where(F.col("rule").isNotNull())
 
@@ -41,13 +46,19 @@ def orphans(child: DataFrame, parent: DataFrame, references: Mapping[str, str])
 def foreign_key_violations(child: DataFrame, parent: DataFrame, references: Mapping[str, str]) -> DataFrame:
     """Missing parent keys with the number of child rows that name them.
 
-    Child rows are counted per key before the join, so a key named by very many rows
-    crosses the network once per task.
+    Where both sides have the same types, one aggregate over the rows of both tells counts
+    and parents: nothing is sorted or joined. A key named by very many rows is counted per
+    task first.
     """
     columns = list(references)
-    named = child.dropna(subset=columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    named = child.dropna(subset=columns).select(*[F.col(f"`{column}`") for column in columns])
     known = parent.select(*[F.col(f"`{target}`").alias(column) for column, target in references.items()])
-    return named.join(known, columns, "left_anti").select(*columns, "n")
+    if [named.schema[c].dataType for c in columns] != [known.schema[c].dataType for c in columns]:  # a join makes them alike
+        return _counted(named, columns).join(known, columns, "left_anti").select(*columns, "n")
+    rows = named.withColumn("_known", F.lit(False)).unionByName(known.dropna().withColumn("_known", F.lit(True)))
+    measures = [F.count_if(~F.col("_known")).alias("n"), F.bool_or("_known").alias("_known")]
+    counted = aggregate_by_key(rows, columns, *measures)
+    return counted.where(~F.col("_known")).select(*columns, "n")
 
 
 @dataclass(frozen=True)

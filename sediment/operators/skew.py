@@ -27,6 +27,9 @@ from sediment.session import materialise
 # A key is hot when its rows exceed this many input splits (half a GiB on disk by default).
 # Only as many keys as the table has such parts can each be so large.
 HOT_SPLITS = 4
+# Input per task that groups rows by key, as a share of a split, and from how many tasks on it grows.
+# Keys alone shuffle to few bytes, by which Spark would leave tens of millions to one task.
+KEY_SHARE, MANY_TASKS = 8, 2000
 # Keys a sketch tells apart: Spark tracks a million items at most, a sketch four per key.
 # Tables of more parts have their keys counted exactly.
 MOST_SKETCHED = 200_000
@@ -121,6 +124,27 @@ def _counted_hot_keys(df: DataFrame, keys: Sequence[str], part: int) -> dict[int
     return {row["item"]: max(2, math.ceil(row["n"] * parts / rows)) for row in found}
 
 
+def aggregate_by_key(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataFrame:
+    """``groupBy(keys).agg(measures)`` in tasks that each hold a bounded number of keys.
+
+    Rows are dealt by key to as many tasks as the size of the tables read calls for. Those
+    of a hot key are added up per task first, so it cannot fill one task. A small input is
+    left to Spark.
+    """
+    split = split_bytes(df.sparkSession)
+    read = input_bytes(df)
+    tasks = min(math.ceil(read * KEY_SHARE / split), max(MANY_TASKS, math.ceil(read / split)))
+    if tasks <= 1:
+        return df.groupBy(*keys).agg(*measures)
+    hot = hot_keys(df, keys)
+    if not hot:
+        return df.repartition(tasks, *keys).groupBy(*keys).agg(*measures)
+    listed = F.broadcast(df.sparkSession.createDataFrame([(item,) for item in hot], "_hot bigint"))
+    in_hot = key_hash(keys) == F.col("_hot")
+    others = df.join(listed, in_hot, "left_anti").repartition(tasks, *keys)
+    return others.groupBy(*keys).agg(*measures).unionByName(df.join(listed, in_hot, "left_semi").groupBy(*keys).agg(*measures))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sediment.operators import compare, history, keys, model, skew
+from sediment.operators import compare, history, keys, model, quality, skew
 
 
 @pytest.fixture
@@ -50,6 +50,25 @@ def test_lookup_join_equals_plain_join(spark, lopsided, large, how):
     assert rows(joined) == rows(lopsided.join(users, ["user_id"], how))
 
 
+def test_key_checks_deal_keys_to_tasks_by_the_size_of_the_input(spark, lopsided, large):
+    users = spark.range(0, 12).select(F.col("id").alias("user_id"))
+    for keys_of, parents in ((["event_id"], lopsided.where("event_id % 5 > 0")), (["user_id"], users.union(users))):
+        repeated = quality.primary_key_violations(lopsided, keys_of)
+        missing = quality.foreign_key_violations(lopsided, parents, {key: key for key in keys_of})
+        counted = lopsided.groupBy(*keys_of).agg(F.count(F.lit(1)).alias("n"))
+        assert rows(repeated.drop("rule")) == rows(counted.where(f"n > 1 OR {keys_of[0]} IS NULL"))
+        assert rows(missing) == rows(counted.dropna().join(parents, keys_of, "left_anti")) != []
+        for checked in (repeated, missing):
+            plan = checked._jdf.queryExecution().executedPlan().toString()
+            assert "REPARTITION_BY_NUM" in plan and "SortMergeJoin" not in plan
+            # Rows of hot keys, here of users, are counted per task before they are dealt.
+            assert ("_hot" in plan) == (keys_of == ["user_id"])
+    texts = users.select(F.col("user_id").cast("string").alias("user_id"))
+    counted = lopsided.dropna(subset=["user_id"]).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    missing = quality.foreign_key_violations(lopsided, texts, {"user_id": "user_id"})
+    assert rows(missing) == rows(counted.where("user_id >= 12"))
+
+
 def test_lookup_join_refuses_mixed_types(spark, lopsided):
     users = spark.range(3).select(F.col("id").cast("string").alias("user_id"))
     with pytest.raises(TypeError):
