@@ -184,8 +184,13 @@ def json_array_split(spark, sf_dir):
         F.to_json(F.struct("c_custkey", name.alias("c_name"), "c_mktsegment"))
     )
     path = scratch_path(spark, "array")
-    whole = customer.agg(F.concat(F.lit("["), F.array_join(F.collect_list(key), ",\n"), F.lit("]")).alias("value"))
-    whole.write.text(path)
+    lines = customer.select(key.alias("value")).withColumn("closing", F.lit(False))
+    lines = lines.unionByName(spark.range(1).select(F.lit("").alias("value"), F.lit(True).alias("closing")))
+    # One task writes the one file, line by line, and holds none of it.
+    lines = lines.repartition(1).sortWithinPartitions("closing")
+    mark = F.concat(F.when(F.monotonically_increasing_id() == 0, "[").otherwise(""), F.when(F.col("closing"), "]").otherwise(""))
+    comma = F.when((F.monotonically_increasing_id() > 0) & ~F.col("closing"), ",").otherwise("")
+    lines.select(F.concat(comma, mark, "value").alias("value")).write.text(path)
     found = arrays.parse_arrays(spark, path, customer.select("c_custkey", "c_name", "c_mktsegment").schema, 8 << 10)
     good = payload.good_records(found).withColumn("outcome", F.lit("record"))
     return good.unionByName(payload.errored_records(found).select("outcome", "element"), allowMissingColumns=True)

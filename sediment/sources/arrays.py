@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sediment.operators.skew import input_bytes, split_bytes
 from sediment.session import materialise, scratch_path
 from sediment.sources.payload import CORRUPT_FILE, CORRUPT_RECORD, EMPTY, RECORD
 
 CORRUPT = "_corrupt_record"
+#: Tasks per core that small blocks are dealt to.
+TASKS_PER_CORE = 4
 #: White space of JSON.
 BLANKS = " \t\r\n"
 
@@ -44,6 +47,12 @@ def _blocks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return text.select(*meta, F.col("value").cast("binary"))
 
 
+def _tasks(spark: SparkSession, blocks: DataFrame) -> int:
+    """Tasks that read the blocks: some per core, or more where each would read more than the session's split."""
+    rounds = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return max(rounds, -(-input_bytes(blocks) // split_bytes(spark)))
+
+
 def _scans():
     """What both scans share; plain closures, so that executors need no package but numpy and pyarrow."""
 
@@ -169,14 +178,16 @@ def parse_arrays(
 ) -> DataFrame:
     """One row per record of files that each hold one JSON array of records, as ``parse_payload`` gives them.
 
-    A file is read by as many tasks as it has blocks, twice. What the scan finds is written
-    to the shared folder. A record that does not fit is set aside alone. A file that is no
+    The blocks are read twice, each time by as many tasks as there are blocks, or by fewer
+    that read several in a row if there are very many. What the scan finds is written to the
+    shared folder. A record that does not fit is set aside alone. A file that is no
     array, or does not end as one, gives one row without an element and no record; an empty
     array or a blank file one that says so. What stands between two records and is none is
     set aside with the record after it. ``block_bytes`` is the size of blocks, by default
     what the session reads per task.
     """
     blocks = _blocks(_session(spark, block_bytes), path)
+    blocks = blocks.coalesce(_tasks(spark, blocks)) if block_bytes else blocks
     states = materialise(_states(_summaries(blocks)), "block-states")
     records, place = _records(blocks, states), scratch_path(spark, "array-records")
     records.write.parquet(place)

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-from sediment.sources.arrays import _blocks, _session, parse_arrays
+from sediment.sources.arrays import TASKS_PER_CORE, _blocks, _session, parse_arrays
 from sediment.sources.payload import errored_records, good_records, parse_payload, read_text_files
 
 RATING = T.StructType([T.StructField("rate", T.DoubleType()), T.StructField("note", T.StringType())])
@@ -79,3 +79,13 @@ def test_one_file_is_read_by_several_tasks(spark, tmp_path):
     assert rows.rdd.getNumPartitions() >= 5 and rows.select("file_block_start").distinct().count() >= 5
     assert good_records(parse_arrays(spark, str(tmp_path), SCHEMA, 20_000)).count() == 2000
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_very_many_blocks_are_read_by_few_tasks(spark, tmp_path):
+    rows = [{"id": k, "title": "x" * (k % 300)} for k in range(2000)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    parsed = parse_arrays(spark, str(tmp_path), SCHEMA, 1000)
+    assert (tmp_path / "a.json").stat().st_size > 300_000
+    written = [path for path in parsed.inputFiles() if "array-records" in path]  # a file per task
+    assert 5 <= len(written) <= TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert sorted((r.id, r.title) for r in good_records(parsed).collect()) == [(r["id"], r["title"]) for r in rows]
