@@ -104,6 +104,7 @@ def match_snapshots(
     hash_column: str,
     carry: Sequence[str],
     ranked: NullSafeKeys | None = None,
+    new_hash: Column | None = None,
 ) -> tuple[DataFrame, list[Column]]:
     """Full outer match of two snapshots with a status per key.
 
@@ -111,11 +112,12 @@ def match_snapshots(
     ``status``, plus the expressions that give the keys back. ``carry`` names the columns
     the old side brings along besides its hash. With ``ranked`` the old side already has
     the key columns of that object, holds each key once and is partitioned by them, as
-    after a rank over them; it is neither checked nor shuffled again.
+    after a rank over them; it is neither checked nor shuffled again. With ``new_hash``, an
+    expression, the new side has no hash yet; it is made after the shuffle and doesn't travel.
     """
     keys = as_list(keys)
     frames = {"current": current, "new": new}
-    require_columns(frames, [hash_column], "hash column")
+    require_columns(frames if new_hash is None else {"current": current}, [hash_column], "hash column")
     require_columns(frames, keys, "business key columns")
     pairs = ranked or NullSafeKeys(current, new, keys)
 
@@ -125,6 +127,8 @@ def match_snapshots(
         else:
             checked = require_unique(pairs.add(frames[label]), pairs.columns, _repeated(keys, label))
         body = [F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns]
+        if new_hash is not None and label == "new":
+            body.append(new_hash.alias(f"{prefix}{hash_column}"))
         return checked.select(*pairs.columns, *body, F.lit(True).alias(f"{prefix}"))
 
     old = side("current", [*[c for c in carry if c != hash_column], hash_column], "_old_")
@@ -145,6 +149,7 @@ def compare_by_key(
     keys: str | Sequence[str],
     hash_column: str = HASH_COLUMN,
     ranked: NullSafeKeys | None = None,
+    new_hash: Column | None = None,
 ) -> DataFrame:
     """Keys, old hash, new-side columns with the new hash, and the status of each key.
 
@@ -153,10 +158,10 @@ def compare_by_key(
     """
     keys = as_list(keys)
     refuse_columns(new, ["status", f"{hash_column}_current", f"{hash_column}_new"], "a comparison")
-    matched, key_columns = match_snapshots(current, new, keys, hash_column, [], ranked)
+    matched, key_columns = match_snapshots(current, new, keys, hash_column, [], ranked, new_hash)
     attributes = [
         F.col(f"`_new_{name}`").alias(f"{hash_column}_new" if name == hash_column else name)
-        for name in new.columns
+        for name in [*new.columns, *([] if new_hash is None else [hash_column])]
         if name not in keys
     ]
     old_hash = F.col(f"`_old_{hash_column}`").alias(f"{hash_column}_current")

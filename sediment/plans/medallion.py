@@ -153,7 +153,10 @@ class Medallion:
                 raise ValueError(f"columns not in silver: {unknown}")
             compare = list(self.compare or comparable_columns(bronze, self.keys))
             comparison = compare_by_key(
-                newest.current(steps, compare, buckets), add_row_hash(bronze, compare, strict=self.strict), as_list(self.keys)
+                newest.current(steps, compare, buckets, as_kept=True),
+                bronze,
+                as_list(self.keys),
+                new_hash=newest.hash_of(bronze, compare),
             )
             rows = add_metadata(drop_hashes(altered(comparison, delta)), self.source, self.version, at)
         else:

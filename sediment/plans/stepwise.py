@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment.functions.columns import as_list
-from sediment.functions.hashing import HASH_COLUMN, add_row_hash
+from sediment.functions.hashing import HASH_COLUMN, hash_expression
 from sediment.functions.types import table_ddl
 from sediment.operators.compare import DELETED, NullSafeKeys
 from sediment.operators.history import latest_version
 from sediment.operators.model import aggregate, measure_columns
+from sediment.session import materialise
 from sediment.sinks.tables import BATCH, align, batches, ensure_schema, own_partitions_only
 from sediment.sources.tables import read_table, table_exists
 
@@ -33,6 +34,8 @@ STEPS = "sediment.steps"
 BUCKET_ROWS, OUTGROWN, MOST_BUCKETS = 1 << 15, 4, 1 << 15
 #: The inverse share of all totals that the changes of steps may reach before they are added up.
 ADDED_UP = 4
+#: Partitions dropped by one statement.
+DROPPED = 500
 
 
 @dataclass(frozen=True)
@@ -73,8 +76,9 @@ class Steps:
         return sorted(tuple(int(part.partition("=")[2]) for part in row[0].split("/")) for row in rows)
 
     def drop(self, parts: Sequence[tuple[int, int]]) -> None:
-        for step, bucket in parts:
-            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({STEP}={step}, {BUCKET}={bucket})")
+        for k in range(0, len(parts), DROPPED):
+            named = ", ".join(f"PARTITION ({STEP}={step}, {BUCKET}={bucket})" for step, bucket in parts[k : k + DROPPED])
+            self.spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS {named}")
 
     def write(self, rows: DataFrame, step: int) -> int:
         """Write a step's rows, dealt by their ``_bucket``, in place of what an attempt that was cut off wrote."""
@@ -84,8 +88,10 @@ class Steps:
             ddl = table_ddl(laid_out, {})
             self.spark.sql(f"CREATE TABLE {self.table} ({ddl}) USING parquet PARTITIONED BY ({STEP}, {BUCKET})")
         self.drop([part for part in self.parts() if part[0] >= step])
+        # Sorted by bucket alone, as the step is the same in all rows.
+        into = f"INSERT OVERWRITE TABLE {self.table} PARTITION ({STEP}={step}, {BUCKET})"
         with own_partitions_only(self.spark):
-            align(laid_out, self.table).write.mode("overwrite").insertInto(self.table)
+            self.spark.sql(f"{into} SELECT * FROM {{rows}}", rows=align(laid_out, self.table).drop(STEP))
         return read_table(self.spark, self.table).where(F.col(STEP) == step).count()
 
 
@@ -100,7 +106,8 @@ class NewestRows:
 
     A load writes the buckets anew that hold one of its changes and reads no others, so a
     small load costs what a few buckets hold, however long the log. Rows carry the hash of
-    the compared columns, so a comparison reads keys and hashes only.
+    the compared columns, so a comparison reads keys and hashes only. Hashes are kept as
+    bytes, and made where rows are written, so that they don't travel.
     """
 
     spark: SparkSession
@@ -114,10 +121,28 @@ class NewestRows:
     def steps(self) -> Steps:
         return Steps(self.spark, f"{self.log}_newest")
 
+    @property
+    def _as_bytes(self) -> bool:
+        """Tables made before hashes were kept as bytes hold texts, and go on so."""
+        table = self.steps.table
+        kind = self.spark.table(table).schema[HASH_COLUMN].dataType if table_exists(self.spark, table) else None
+        return not isinstance(kind, T.StringType)
+
+    def hash_of(self, rows: DataFrame, compare: Sequence[str]) -> Column:
+        """The hash of some columns, in the form in which it is kept."""
+        text = hash_expression(rows, list(compare), self.strict)
+        return F.unhex(text) if self._as_bytes else text
+
     def _hashed(self, rows: DataFrame) -> DataFrame:
+        """Rows with a hash, made for those that have none."""
         if self.compare is None:
-            return rows.withColumn(HASH_COLUMN, F.lit(None).cast("string"))
-        return add_row_hash(rows, list(self.compare), strict=self.strict)
+            return rows.withColumn(HASH_COLUMN, self._no_hash)
+        made = self.hash_of(rows, self.compare)
+        return rows.withColumn(HASH_COLUMN, F.coalesce(HASH_COLUMN, made) if HASH_COLUMN in rows.columns else made)
+
+    @property
+    def _no_hash(self) -> Column:
+        return F.lit(None).cast("binary" if self._as_bytes else "string")
 
     @property
     def _covers(self) -> str:
@@ -153,12 +178,17 @@ class NewestRows:
     def live(self, steps: Sequence[Step], buckets: Sequence[int] | None = None) -> DataFrame:
         return self.rows(steps, buckets).where(~F.col("status").eqNullSafe(DELETED))
 
-    def current(self, steps: Sequence[Step], compare: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame:
-        """The live rows of a state with the hash of ``compare``, as stored where it covers the same columns."""
+    def current(
+        self, steps: Sequence[Step], compare: Sequence[str], buckets: Sequence[int] | None = None, as_kept: bool = False
+    ) -> DataFrame:
+        """The live rows of a state with the hash of ``compare``, as stored where it covers the same columns.
+
+        It is given as text, or with ``as_kept`` in the form of ``hash_of``.
+        """
         rows = self.live(steps, buckets)
-        if steps[-1].note == json.dumps([self.strict, list(compare)]):
-            return rows
-        return add_row_hash(rows.drop(HASH_COLUMN), list(compare), strict=self.strict)
+        covered = steps[-1].note == json.dumps([self.strict, list(compare)])
+        known = F.col(HASH_COLUMN) if covered else self.hash_of(rows, compare)
+        return rows.withColumn(HASH_COLUMN, F.lower(F.hex(known)) if self._as_bytes and not as_kept else known)
 
     def _bucket(self, rows: DataFrame, n: int) -> Column:
         types = self.spark.table(self.log).schema
@@ -198,7 +228,7 @@ class NewestRows:
         """Draw the newest rows from the whole log."""
         log = read_table(self.spark, self.log).where(F.col(BATCH) <= load)
         one_load = sum(known <= load for known in batches(self.spark, self.log)) == 1  # with each key once
-        return self._whole(self._hashed(log), log.count(), load, steps, ranked=not one_load)
+        return self._whole(log, log.count(), load, steps, ranked=not one_load)
 
     def _newest_of(self, rows: DataFrame, n: int) -> DataFrame:
         """The newest row of each key, dealt by buckets once, for the rank and the files."""
@@ -209,19 +239,19 @@ class NewestRows:
         n = min(MOST_BUCKETS, max(1, -(-about // self.bucket_rows)))
         number = _next(steps, self.steps.parts() if steps else [])
         newest = self._newest_of(rows, n) if ranked else rows.withColumn(BUCKET, self._bucket(rows, n)).repartition(BUCKET)
-        written = self.steps.write(newest, number)
+        written = self.steps.write(self._hashed(newest), number)
         done = [*[step for step in steps if step.load <= load][-1:], Step(number, load, n, written, note=self._covers)]
         self.steps.note(done)
         return done
 
     def _follow(self, steps: list[Step], load: int) -> list[Step]:
         """Bring the buckets up to date that hold a change of the loads since."""
-        changes = self._hashed(self._log(steps[-1].load, load))
+        changes = self._log(steps[-1].load, load).withColumn(HASH_COLUMN, self._no_hash)
         n = self._n(steps)
         touched = self.buckets_of(changes, steps)
         both = self.rows(steps, touched).unionByName(changes)
         number = _next(steps, self.steps.parts())
-        rows = self.steps.write(self._newest_of(both, n), number) if touched else 0
+        rows = self.steps.write(self._hashed(self._newest_of(both, n)), number) if touched else 0
         done = [*steps, Step(number, load, 0, rows, note=self._covers)]
         if n < MOST_BUCKETS and rows > len(touched) * self.bucket_rows * OUTGROWN:
             whole = self.rows(done)
@@ -284,7 +314,7 @@ class Totals:
                 others[name] = (function, column)
         return signed, others
 
-    def _changes(self, rows: DataFrame, sign: Column) -> DataFrame:
+    def _changes(self, rows: DataFrame, sign: Column, *more: Column) -> DataFrame:
         """Per group the change in rows, and in sums and counts of each measure."""
         signed, _ = self._kinds(rows)
         weighted = rows.withColumn("_sign", sign)
@@ -294,7 +324,7 @@ class Totals:
             columns.append(F.sum(F.when(there, F.col("_sign")).otherwise(0)).alias(f"_c{k}"))
             if function != "count":
                 columns.append(F.sum(F.col(f"`{column}`") * F.col("_sign")).alias(f"_s{k}"))
-        return weighted.groupBy(*self.group_by).agg(*columns)
+        return weighted.groupBy(*self.group_by).agg(*columns, *more)
 
     def _with_others(self, changes: DataFrame, live: DataFrame, some: bool) -> DataFrame:
         """The changes with the other measures of their groups, worked out from the live rows."""
@@ -310,16 +340,22 @@ class Totals:
         return left.join(again, list(pairs.columns), "left").drop(*pairs.columns)
 
     def _between(self, before: Sequence[Step], after: Sequence[Step]) -> DataFrame:
-        """What changed from one state of the newest rows to the next."""
-        changed = self.newest._log(before[-1].load, after[-1].load).select(*as_list(self.newest.keys)).distinct()
+        """What changed from one state of the newest rows to the next, written to the shared folder.
+
+        Only buckets that hold a change are read. Rows that stay are the same in both states
+        and cancel out, so rows are added up where they lie and no keys are matched. A group
+        is concerned if a row of the loads since is in it, or if it has lost rows.
+        """
+        since = before[-1].load
+        touched = self.newest.buckets_of(self.newest._log(since, after[-1].load), after)
         sides = []
         for state, sign in ((before, -1), (after, 1)):
-            rows = self.newest.live(state, self.newest.buckets_of(changed, state))
-            pairs = NullSafeKeys(rows, changed, as_list(self.newest.keys))
-            rows = pairs.add(rows).join(pairs.add(changed).select(*pairs.columns), list(pairs.columns), "left_semi")
-            sides.append(rows.drop(*pairs.columns).withColumn("_one", F.lit(sign).cast("long")))
+            fresh = F.col(BATCH) > since if sign > 0 else F.lit(False)
+            rows = self.newest.live(state, touched)
+            sides.append(rows.withColumns({"_one": F.lit(sign).cast("long"), "_fresh": fresh}))
         both = sides[0].unionByName(sides[1])
-        return self._changes(both, F.col("_one"))
+        changes = self._changes(both, F.col("_one"), F.bool_or("_fresh").alias("_fresh"))
+        return materialise(changes.where(F.col("_fresh") | (F.col("_n") != 0)).drop("_fresh"), "totals")
 
     def follow(self, state: Sequence[Step]) -> list[Step]:
         """The steps that give the totals of a state of the newest rows, made now as far as needed."""

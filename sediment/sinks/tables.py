@@ -7,6 +7,8 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
+from itertools import product
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -165,14 +167,27 @@ def write_batch(
     else:
         words = ("new", "changed", "deleted", "unchanged")
         measures = [F.count(F.when(F.col(status) == word, 1)).alias(word) for word in words]
-    # One entry per partition written; an empty text is stored as null.
-    place = F.struct(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"p{i}") for i, c in enumerate(layout)])
-    counted = aligned.observe(counter, *measures, F.to_json(F.collect_set(place), {"ignoreNullFields": "false"}).alias("_written"))
+    # Where there are few possible partitions each is counted; a set costs more per row.
+    few = all(isinstance(aligned.schema[c].dataType, T.BooleanType) for c in partitions) and len(partitions) <= 2
+    places = list(product((True, False, None), repeat=len(partitions))) if few else []
+    if few:
+        for i, values in enumerate(places):
+            here = [F.col(f"`{c}`").eqNullSafe(F.lit(v)) for c, v in zip(partitions, values, strict=True)]
+            measures.append(F.count(F.when(reduce(lambda a, b: a & b, here, F.lit(True)), 1)).alias(f"_place{i}"))
+    else:
+        # One entry per partition written; an empty text is stored as null.
+        place = F.struct(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"p{i}") for i, c in enumerate(layout)])
+        measures.append(F.to_json(F.collect_set(place), {"ignoreNullFields": "false"}).alias("_written"))
+    counted = aligned.observe(counter, *measures)
     before = _partitions(spark, table, batch_id)
     with own_partitions_only(spark):
         counted.write.mode("overwrite").insertInto(table)
     found = dict(counter.get)
-    written = {tuple(entry.values()) for entry in json.loads(found.pop("_written") or "[]")}
+    if few:
+        filled = [values for i, values in enumerate(places) if found.pop(f"_place{i}")]
+        written = {(str(batch_id), *[None if v is None else str(v).lower() for v in values]) for values in filled}
+    else:
+        written = {tuple(entry.values()) for entry in json.loads(found.pop("_written") or "[]")}
     for values in before - written:
         names = [f"`{c}`='{_quoted(NO_VALUE if v is None else v)}'" for c, v in zip(layout, values, strict=True)]
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({', '.join(names)})")
