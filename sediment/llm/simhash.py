@@ -10,6 +10,9 @@ around it, cells are joined, and the pairs found are verified on the fingerprint
 Cells that hold many fingerprints are not paired. Their members are entered anew in the
 finest grid, with segments of one bit. There two members of a cell differ in few enough
 bits by construction, and linking each to the smallest of its cell is exact and linear.
+
+Cells are merge joined at every size: Spark takes an exploded frame for no larger than what it
+was made from, and would broadcast tens of cells for each fingerprint of a small table.
 """
 
 from __future__ import annotations
@@ -118,14 +121,14 @@ def near_pairs(
     steps = max_bits // 2
     cells = grid(fps, steps, segment_bits)
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialise(cells.join(shared, "cell"), "simhash-cells")
+    members = materialise(cells.join(shared.hint("merge"), "cell"), "simhash-cells")
     left = members.where(F.col("n") <= crowded).select("cell", F.col("fp").alias("a"))
     right = left.select("cell", F.col("a").alias("b"))
-    pairs = left.join(right, "cell").where("a < b").select("a", "b")
+    pairs = left.join(right.hint("merge"), "cell").where("a < b").select("a", "b")
     pairs = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     fine = grid(members.where(F.col("n") > crowded).select("fp").distinct(), steps, 1)
     low = fine.groupBy("cell").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = fine.join(low.select("cell", "a"), "cell").where("a <> fp").select("a", F.col("fp").alias("b"))
+    stars = fine.join(low.select("cell", "a").hint("merge"), "cell").where("a <> fp").select("a", F.col("fp").alias("b"))
     return pairs.union(stars)
 
 

@@ -5,7 +5,7 @@ import random
 import xxhash
 from pyspark.sql import types as T
 
-from sediment.llm import simhash
+from sediment.llm import common, simhash
 
 SCHEMA = "doc_id long, text string, _id string, _hash string, fp string, root string"
 
@@ -92,6 +92,26 @@ def test_crowded_cells_lose_no_link(spark):
         assert [found.get(r[0], r[0]) for r in rows] == wanted
 
 
+def test_nothing_exploded_is_broadcast(spark, tmp_path, monkeypatch):
+    """A file of fingerprints under the broadcast limit still makes many times its size in cells."""
+    draw = random.Random(9)
+    fps = {draw.getrandbits(64) for _ in range(300)}
+    fps |= {f ^ 1 << draw.randrange(64) for f in sorted(fps)[:100]}
+    spark.createDataFrame([(signed(f),) for f in sorted(fps)], "fp long").write.parquet(f"{tmp_path}/fps")
+    plans, written = [], common.materialise
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label)
+
+    monkeypatch.setattr(simhash, "materialise", noted)
+    monkeypatch.setattr(common, "materialise", noted)
+    roots = simhash.components(simhash.near_pairs(spark.read.parquet(f"{tmp_path}/fps"), crowded=1))
+    assert roots.select("root").distinct().count() == 100
+    assert len(plans) >= 3 and all("SortMergeJoin" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_one_of_each_group_stays(spark):
     frame = spark.createDataFrame(documents(), SCHEMA)
     kept = simhash.keep_one(frame)
