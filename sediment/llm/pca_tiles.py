@@ -4,34 +4,47 @@ Vectors are turned into the axes of their principal components. A few leading ax
 hold most of any product, and Cauchy-Schwarz bounds the rest by the norms of what is left:
 ``x.y <= leading product + |rest of x| |rest of y|``. Vectors are sorted into tiles by
 their leading coordinates. Two tiles whose boxes are too far apart have no pair to link;
-for the others products grow axis block by axis block, and pairs whose bound falls below
-the threshold are given up. What is left is verified in double precision on the vectors as
-they came.
-
-Equal vectors are one class from the start. A pair of tiles gives back one row per linked
-class, its links counted and a local root, never the pairs.
+for the others these bounds are worked out in single precision, block by block, as products
+of vectors that hold the leading coordinates and the norm. Blocks with many pairs above the
+threshold are taken to more axes. What comes out closer to the threshold than rounding goes
+is verified in double precision on the vectors as they came.
+
+A tile is a file in the shared folder, and tasks read the tiles whose pairs they compare: on
+data without structure every pair of tiles is compared, and what is written must not grow
+with their number. The pairs of a square of tiles are compared by one task, so that a tile
+is read once for several pairs.
+
+Equal vectors are one class from the start. A task gives back one row per linked class, its
+links counted and a local root, never the pairs.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.llm.common import components, ship, slim, tidy
-from sediment.session import materialise
+from sediment.llm.files import Output, reading
+from sediment.session import materialise, scratch_path
 
 THRESHOLD = 0.95
-#: Classes of a tile, about.
-TILE = 2048
+#: Classes of a tile, about, and bytes of their vectors, at most.
+TILE, TILE_BYTES = 8192, 8 << 20
+#: Classes on either side of the products held at a time.
+BLOCK = 512
+#: Tiles on either side of the square of pairs that a task compares, at most; bytes of tiles it keeps at hand.
+SIDE, AT_HAND = 8, 96 << 20
 #: Vectors that the axes are fitted on (any axes are right, these are fast), and axes of a tile's box.
 SAMPLE, BOX = 8192, 4
-#: Axes after which pairs are given up.
-STEPS = (8, 16, 32)
+#: Axes after which bounds are looked at.
+STEPS = (24, 64, 128, 256, 512)
+#: Rows of results that a task gathers before it sums them up.
+GATHERED = 1 << 20
 _SLACK = 1e-9
 
 
@@ -82,38 +95,67 @@ def leaf(leading: np.ndarray, tree: list[tuple[int, float]]) -> np.ndarray:
     return place - len(tree)
 
 
-def linked(a: np.ndarray, b: np.ndarray, basis: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``a`` and ``b`` whose cosine is at least the threshold."""
-    ua, ub = unit(a), unit(b)
-    ra, rb = ua @ basis, ub @ basis
-    stops = [s for s in STEPS if s < basis.shape[1]] + [basis.shape[1]]
+class Side:
+    """Vectors as they came and, in single precision, turned into the axes, with the norms left after each of the steps."""
+
+    def __init__(self, raw: np.ndarray, basis: np.ndarray):
+        turned = unit(raw.astype(np.float64)) @ basis
+        width = basis.shape[1]
+        self.raw, self.turned = raw, turned.astype(np.float32)
+        self.stops = [s for s in STEPS if s < width] + [width]
+        self.rests = [np.sqrt((turned[:, s:] ** 2).sum(axis=1, keepdims=True)).astype(np.float32) for s in self.stops]
+        self.first = np.hstack((self.turned[:, : self.stops[0]], self.rests[0]))
+        starts = range(0, len(raw), BLOCK)
+        lead = self.first[:, :-1].astype(np.float64)
+        self.boxes = [(x.min(axis=0), x.max(axis=0)) for x in (lead[k : k + BLOCK] for k in starts)]
+        self.bytes = sum(x.nbytes for x in (self.raw, self.turned, self.first, *self.rests))
+
+    def upto(self, step: int, rows: slice) -> np.ndarray:
+        """Coordinates before a stop and the norm of the rest: the product of two such rows bounds the cosine."""
+        if not step:
+            return self.first[rows]
+        return np.hstack((self.turned[rows, : self.stops[step]], self.rests[step][rows]))
+
+
+def _links(a: Side, b: Side, threshold: float, upper: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of ``a`` and ``b`` whose cosine is at least the threshold, block by block; ``upper``: only ``i < j``."""
+    # Twice what rounding to single precision can add up to in a product of unit vectors.
+    slack = (a.turned.shape[1] + 8) * 2.0**-23
+    bar, reach = threshold - slack, 2 - 2 * threshold + slack
+    last = len(a.stops) - 1
+    for m, (low, high) in enumerate(a.boxes):
+        for k, (low2, high2) in enumerate(b.boxes):
+            if upper and k < m:
+                continue
+            gap = np.maximum(np.maximum(low - high2, low2 - high), 0.0)
+            if gap @ gap > reach:
+                continue
+            rows, others, step = slice(m * BLOCK, (m + 1) * BLOCK), slice(k * BLOCK, (k + 1) * BLOCK), 0
+            while True:
+                bound = a.upto(step, rows) @ b.upto(step, others).T
+                at = np.flatnonzero(bound >= bar) if bound.max() >= bar else ()
+                if step == last or len(at) * 16 < bound.size:
+                    break
+                step += 1
+            for start in range(0, len(at), 1 << 16):  # a bounded number of pairs at a time
+                some = at[start : start + (1 << 16)]
+                i, j = some // bound.shape[1] + rows.start, some % bound.shape[1] + others.start
+                total = bound.ravel()[some] if step == last else np.einsum("ij,ij->i", a.turned[i], b.turned[j])
+                near = (total >= bar) & (i < j) if upper else total >= bar
+                i, j, total = i[near], j[near], total[near]
+                keep = total >= threshold + slack
+                if len(close := np.flatnonzero(~keep)):
+                    ours, theirs = (unit(x.astype(np.float64)) for x in (a.raw[i[close]], b.raw[j[close]]))
+                    keep[close] = np.einsum("ij,ij->i", ours, theirs) >= threshold
+                if keep.any():
+                    yield i[keep], j[keep]
 
-    def rest(r: np.ndarray, stop: int) -> np.ndarray:
-        return np.sqrt((r[:, stop:] ** 2).sum(axis=1))
 
-    bar = threshold - _SLACK
-    product = ra[:, : stops[0]] @ rb[:, : stops[0]].T
-    at = 0
-    while True:
-        alive = product + np.multiply.outer(rest(ra, stops[at]), rest(rb, stops[at])) >= bar
-        if at == len(stops) - 1 or np.count_nonzero(alive) * 16 < alive.size:
-            break
-        at += 1
-        product += ra[:, stops[at - 1] : stops[at]] @ rb[:, stops[at - 1] : stops[at]].T
-    i, j = np.nonzero(alive)
-    found_i, found_j = [], []
-    for k in range(0, len(i), 1 << 16):  # a bounded number of pairs at a time
-        p, q = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-        total = product[p, q]
-        for start, stop in zip(stops[at:], stops[at + 1 :], strict=False):
-            total = total + np.einsum("ij,ij->i", ra[p, start:stop], rb[q, start:stop])
-            keep = total + rest(ra[p], stop) * rest(rb[q], stop) >= bar
-            p, q, total = p[keep], q[keep], total[keep]
-        exact = np.einsum("ij,ij->i", ua[p], ub[q]) >= threshold
-        found_i.append(p[exact])
-        found_j.append(q[exact])
+def linked(a: np.ndarray, b: np.ndarray, basis: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``a`` and ``b`` whose cosine is at least the threshold."""
     none = np.empty(0, dtype=np.int64)
-    return (np.concatenate(found_i), np.concatenate(found_j)) if found_i else (none, none)
+    i, j = zip((none, none), *_links(Side(a, basis), Side(b, basis), threshold), strict=True)
+    return np.concatenate(i), np.concatenate(j)
 
 
 def roots(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -130,108 +172,178 @@ def roots(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _doubles(column: pa.Array) -> np.ndarray:
-    """An array column of equal lengths as a matrix."""
-    return np.array(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(column), -1)
+def joined(node: np.ndarray, links: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One row per node: its links summed, and a root that all nodes have that rows connect."""
+    every, at = np.unique(np.concatenate((node, root)), return_inverse=True)
+    total = np.bincount(at[: len(node)], links, len(every)).astype(np.int64)
+    root = every[roots(len(every), at[: len(node)], at[len(node) :])]
+    return every[total > 0], total[total > 0], root[total > 0]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """An array column of equal lengths as a matrix, single precision left as it is."""
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return np.asarray(values, dtype="<f4" if values.dtype == np.float32 else "<f8").reshape(len(column), -1)
+
+
+def _write(folder: str, nodes: np.ndarray, sizes: np.ndarray, raw: np.ndarray) -> str:
+    """Writes a tile, and tells its name. No other attempt has that name, and only names in rows that count are read."""
+    out = Output(folder, "tile")
+    for values in (np.array([*raw.shape, raw.itemsize]), nodes, sizes):
+        out.write(values.astype("<i8").tobytes())
+    out.write(raw.tobytes())
+    out.close()
+    return out.temporary
+
+
+def _read(folder: str, name: str, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, Side]:
+    """Nodes, sizes and vectors of a tile."""
+    with reading(f"{folder}/{name}") as file:
+        data = file.read()
+    rows, width, item = (int(x) for x in np.frombuffer(data, "<i8", 3))
+    numbers = np.frombuffer(data, "<i8", 2 * rows, 24)
+    raw = np.frombuffer(data, f"<f{item}", rows * width, 24 + 16 * rows).reshape(rows, width)
+    return numbers[:rows], numbers[rows:], Side(raw, basis)
 
 
 def _compare(classes: DataFrame, threshold: float) -> DataFrame:
-    """``node``, ``links`` (weighted), ``root`` per linked class and pair of tiles, for vectors of one length."""
+    """``node``, ``links`` (weighted), ``root`` per linked class and task, for vectors of one length."""
     spark = classes.sparkSession
     count = classes.count()
-    picked = classes.orderBy(F.xxhash64("embedding", "node")).limit(SAMPLE).select("embedding").toArrow()
-    sample = _doubles(picked.column(0).combine_chunks())
+    order = F.xxhash64("embedding", "node")
+    picked = classes.where(F.pmod(order, F.lit(max(1, count // (2 * SAMPLE)))) == 0).orderBy(order).limit(SAMPLE)
+    sample = _matrix(picked.select("embedding").toArrow().column(0).combine_chunks()).astype(np.float64)
     basis = axes(sample)
-    tree = splits((unit(sample) @ basis)[:, :BOX], -(-count // TILE))
+    most = max(1, min(TILE, TILE_BYTES // (8 * sample.shape[1])))
+    # The tree goes on below the tiles, which keeps what is close together within a tile.
+    depth = max(0, int(np.ceil(np.log2(max(1, -(-count // most))))))
+    deep = max(depth, min(int(np.log2(SAMPLE)) - 2, int(np.ceil(np.log2(max(1, -(-count // BLOCK)))))))
+    tree = splits((unit(sample) @ basis)[:, :BOX], 1 << deep)
     shared = spark.sparkContext.broadcast((basis, tree))
 
-    @F.pandas_udf("long")
-    def place(vectors: pd.Series) -> pd.Series:
+    def place(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own, inner = shared.value
-        if not len(vectors):
-            return pd.Series([], dtype="int64")
-        leading = (unit(np.array(vectors.tolist(), dtype=np.float64)) @ own)[:, :BOX]
-        return pd.Series(leaf(leading, inner))
+        for vectors in batches:
+            if len(vectors):
+                leading = (unit(_matrix(vectors).astype(np.float64)) @ own)[:, :BOX]
+                yield pa.array(leaf(leading, inner))
+            else:
+                yield pa.array([], pa.int64())
 
     # A leaf that holds more than a tile, its bounds being a sample's, is dealt out by hash.
-    placed = materialise(classes.withColumn("leaf", place("embedding")), "tiles-placed")
-    parts = placed.groupBy("leaf").agg(F.ceil(F.count("*") / TILE).alias("parts"))
-    tiled = placed.join(parts, "leaf").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = classes.withColumn("fine", F.arrow_udf(place, "long")("embedding"))
+    placed = placed.withColumn("leaf", F.shiftright("fine", deep - depth))
+    parts = materialise(placed.groupBy("leaf").agg(F.ceil(F.count("*") / most).alias("parts")), "tile-parts")
+    tiled = placed.join(parts, "leaf", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    tiled = tiled.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    folder = scratch_path(spark, "tiles")
 
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
-        raw = _doubles(table.column("embedding").combine_chunks())
-        leading = (unit(raw) @ shared.value[0])[:, :BOX]
-        return pa.table(
-            {
-                "leaf": table.column("leaf")[:1],
-                "part": table.column("part")[:1],
-                "low": pa.array([leading.min(axis=0).tolist()], pa.list_(pa.float64())),
-                "high": pa.array([leading.max(axis=0).tolist()], pa.list_(pa.float64())),
-                "nodes": pa.array([table.column("node").to_numpy().astype("<i8").tobytes()], pa.binary()),
-                "sizes": pa.array([table.column("n").to_numpy().astype("<i8").tobytes()], pa.binary()),
-                "vectors": pa.array([raw.astype("<f8").tobytes()], pa.binary()),
-            }
-        )
-
-    schema = "leaf long, part long, low array<double>, high array<double>, nodes binary, sizes binary, vectors binary"
-    tiles = tiled.groupBy("leaf", "part").applyInArrow(pack, schema)
+        table = table.sort_by([("fine", "ascending"), ("node", "ascending")])
+        raw = _matrix(table.column("embedding").combine_chunks())
+        leading = (unit(raw.astype(np.float64)) @ shared.value[0])[:, :BOX]
+        name = _write(folder, table.column("node").to_numpy(), table.column("n").to_numpy(), raw)
+        box = [pa.array([x.tolist()], pa.list_(pa.float64())) for x in (leading.min(axis=0), leading.max(axis=0))]
+        keys = [table.column(c)[:1] for c in ("leaf", "parts", "part")]
+        return pa.table([*keys, *box, pa.array([name])], names=["leaf", "parts", "part", "low", "high", "name"])
+
+    kept = tiled.select("leaf", "parts", "part", "fine", "node", "n", "embedding")
+    schema = "leaf long, parts long, part long, low array<double>, high array<double>, name string"
+    tiles = kept.groupBy("leaf", "parts", "part").applyInArrow(pack, schema)
     tiles = materialise(tiles.withColumn("tile", F.monotonically_increasing_id()), "tiles")
 
     # Linked unit vectors differ by at most this much in all axes together.
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + _SLACK
-    boxes = tiles.select("tile", "low", "high")
-    cell = [
-        F.sequence(F.floor((F.col("low")[k] - reach / 2) / reach), F.floor((F.col("high")[k] + reach / 2) / reach))
-        for k in range(min(2, basis.shape[0]))
-    ]
-    cells = boxes
-    for k, c in enumerate(cell):
-        cells = cells.withColumn(f"c{k}", F.explode(c))
-    names = [f"c{k}" for k in range(len(cell))]
-    other = cells.select(*names, F.col("tile").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    pairs = cells.join(other, names).where("tile <= other")
+    # Pairs of close boxes share cells of a grid; the greatest of the lowest cells is one of these.
+    axis = range(min(2, basis.shape[0]))
+    first = [F.floor((F.col("low")[k] - reach / 2) / reach) for k in axis]
+    stop = [F.floor((F.col("high")[k] + reach / 2) / reach) for k in axis]
+    cells = tiles.select("tile", "low", "high", "name", "leaf", "parts", "part", *[x.alias(f"f{k}") for k, x in enumerate(first)])
+    for k in axis:
+        cells = cells.withColumn(f"c{k}", F.explode(F.sequence(first[k], stop[k])))
+    names = [f"c{k}" for k in axis]
+    other = cells.select(*names, *[F.col(c).alias(f"{c}2") for c in cells.columns if c not in names])
+    pairs = cells.join(other.hint("merge"), names).where("tile <= tile2")
+    for k in axis:
+        pairs = pairs.where(F.col(f"c{k}") == F.greatest(f"f{k}", f"f{k}2"))
     gaps = F.zip_with(
         F.zip_with("low", "high2", lambda x, y: x - y),
         F.zip_with("low2", "high", lambda x, y: x - y),
         lambda x, y: F.greatest(x, y, F.lit(0.0)),
     )
     far = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g)
-    pairs = materialise(pairs.where(far <= reach * reach).select("tile", "other").distinct(), "tile-pairs")
-    blobs = tiles.select("tile", "nodes", "sizes", "vectors")
-    right = blobs.select(*[F.col(c).alias(f"{c}2") for c in blobs.columns])
-    work = pairs.join(blobs, "tile").join(right, F.col("other") == F.col("tile2"))
-    work = work.select("tile", "other", *blobs.columns[1:], *right.columns[1:])
-    work = work.repartition(max(1, min(pairs.count(), 4 * spark.sparkContext.defaultParallelism)), "tile", "other")
+    carried = ["leaf", "parts", "part", "name"]
+    pairs = pairs.where(far <= reach * reach).select(*carried, *[f"{c}2" for c in carried])
+    pairs = materialise(pairs, "tile-pairs")
+    many, tasks = pairs.count(), 4 * spark.sparkContext.defaultParallelism
+    bits = int(np.log2(min(SIDE, max(1.0, (many / tasks) ** 0.5))))
+
+    def square(end: str) -> list[Column]:
+        alone = F.col(f"parts{end}") == 1
+        side = [F.when(alone, F.shiftright(f"leaf{end}", bits)).otherwise(F.col(f"leaf{end}"))]
+        side += [F.when(alone, F.lit(-1)).otherwise(F.shiftright(f"part{end}", bits))]
+        return [x.alias(f"s{k}{end}") for k, x in enumerate(side)]
+
+    squares = pairs.select(*square(""), *square("2"), "name", "name2")
+    dealt = max(1, min(many, max(tasks, many >> 2 * bits)))
+    key = ["s0", "s1", "s02", "s12"]
+    work = squares.repartitionByRange(dealt, *key).sortWithinPartitions(*key, "name", "name2").select("name", "name2")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: OrderedDict[str, tuple[np.ndarray, np.ndarray, Side]] = OrderedDict()
+        gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def tile(name: str) -> tuple[np.ndarray, np.ndarray, Side]:
+            if name not in known:
+                known[name] = _read(folder, name, shared.value[0])
+                while len(known) > 2 and sum(x[2].bytes for x in known.values()) > AT_HAND:
+                    known.popitem(last=False)
+            known.move_to_end(name)
+            return known[name]
+
+        def rows() -> pa.RecordBatch:
+            columns = [np.concatenate(x) for x in zip(*gathered, strict=True)]
+            gathered.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in joined(*columns)], names=["node", "links", "root"])
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                tile, other, nodes, sizes, vectors, nodes2, sizes2, vectors2 = (c[row].as_py() for c in batch.columns)
-                own, n = np.frombuffer(nodes, "<i8"), np.frombuffer(sizes, "<i8")
-                theirs, m = np.frombuffer(nodes2, "<i8"), np.frombuffer(sizes2, "<i8")
-                a = np.frombuffer(vectors, "<f8").reshape(len(own), -1)
-                b = np.frombuffer(vectors2, "<f8").reshape(len(theirs), -1)
-                i, j = linked(a, b, shared.value[0], threshold)
-                if tile == other:
-                    i, j = i[i < j], j[i < j]
-                    m, theirs, shift = n, own, 0
-                else:
-                    shift = len(own)
-                total = len(own) + (len(theirs) if shift else 0)
-                links = np.bincount(i, m[j], total) + np.bincount(j + shift, n[i], total)
-                at = np.flatnonzero(links)
-                every = np.concatenate((own, theirs)) if shift else own
-                root = roots(total, i, j + shift)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(every[at]), pa.array(links[at].astype(np.int64)), pa.array(every[root[at]])],
-                    names=["node", "links", "root"],
-                )
+            for name, name2 in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own, n, a = tile(name)
+                theirs, m, b = tile(name2)
+                same = name == name2
+                every, shift = (own, 0) if same else (np.concatenate((own, theirs)), len(own))
+                links, ends = np.zeros(len(every)), []
+                for i, j in _links(a, b, threshold, upper=same):
+                    links += np.bincount(i, m[j], len(every)) + np.bincount(j + shift, n[i], len(every))
+                    if len(i) > len(every):  # no more than one end per row goes on
+                        root = roots(len(every), i, j + shift)
+                        i = np.flatnonzero(root != np.arange(len(every)))
+                        ends.append((i, root[i]))
+                    else:
+                        ends.append((i, j + shift))
+                if ends:
+                    root = roots(len(every), *(np.concatenate(x) for x in zip(*ends, strict=True)))
+                    at = np.flatnonzero(links)
+                    gathered.append((every[at], links[at].astype(np.int64), every[root[at]]))
+                if sum(len(x[0]) for x in gathered) > GATHERED:
+                    summed = rows()
+                    if summed.num_rows > GATHERED // 2:
+                        yield summed
+                    else:
+                        gathered.append(tuple(c.to_numpy() for c in summed.columns))
+        if gathered:
+            yield rows()
+        known.clear()
         tidy()
 
     return work.mapInArrow(compare, "node long, links long, root long")
 
 
+def key(vector: Column) -> Column:
+    """A number that equal vectors share, whatever the sign of their zeros."""
+    return F.xxhash64(vector)
+
+
 def neighbours(
     vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -249,7 +361,8 @@ def neighbours(
     rows = slim(vectors, vec_id=id_column, embedding=vector_column)
     good = rows.where(sound(F.col("embedding")))
     classes = good.groupBy("embedding").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"))
-    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
+    classes = classes.withColumn("node", F.monotonically_increasing_id()).withColumn("key", key(F.col("embedding")))
+    classes = materialise(classes, "vector-classes")
     lengths = [r[0] for r in classes.select(F.size("embedding")).distinct().orderBy(F.size("embedding")).collect()]
     found = spark.createDataFrame([], "node long, links long, root long")
     for length in lengths:
@@ -257,20 +370,24 @@ def neighbours(
     found = materialise(found, "vector-links")
     degree = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    whole = classes.join(degree, "node", "left").join(named.withColumnRenamed("root", "named"), "node", "left")
-    whole = whole.select(
-        F.col("embedding").alias("vector"),
+    whole = classes.select("node", "key", "n", "first").join(degree, "node", "left")
+    whole = whole.join(named.withColumnRenamed("root", "named"), "node", "left").select(
+        "node",
+        F.col("key").alias("own"),
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         F.coalesce("named", "node").alias("root"),
         "first",
     )
     smallest = whole.groupBy("root").agg(F.min("first").alias("component_id"))
-    whole = materialise(whole.join(smallest, "root").select("vector", "n_links", "component_id"), "vector-classes")
-    keyed = rows.withColumn("key", F.when(sound(F.col("embedding")), F.xxhash64("embedding")))
-    on = (F.col("key") == F.xxhash64("vector")) & (F.col("embedding") == F.col("vector"))
-    joined = keyed.join(whole, on, "left")
+    whole = materialise(whole.join(smallest, "root").select("node", "own", "n_links", "component_id"), "vector-classes")
+    keyed = rows.withColumn("key", F.when(sound(F.col("embedding")), key(F.col("embedding"))))
+    on = F.col("key") == F.col("own")
+    if not classes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").isEmpty():  # else keys will do
+        whole = whole.join(classes.select("node", F.col("embedding").alias("vector")), "node")
+        on = on & (F.col("embedding") == F.col("vector"))
+    matched = keyed.join(whole, on, "left")
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return joined.select(
+    return matched.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         component.alias("component_id"),
