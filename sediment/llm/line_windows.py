@@ -57,7 +57,8 @@ def covered(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash", "start")
     found = windows(docs, id_column, text_column, size)
     repeated = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    later = found.join(repeated, ["h1", "h2"]).where(place != F.col("first")).select("_id", "_hash", "start", "stop")
+    # Spark takes windows for no larger than the texts in their file, and may broadcast them.
+    later = found.join(repeated.hint("merge"), ["h1", "h2"]).where(place != F.col("first")).select("_id", "_hash", "start", "stop")
     return later.groupBy("_id", "_hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 

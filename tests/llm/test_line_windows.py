@@ -66,3 +66,14 @@ def test_emptied_documents_go_and_columns_stay(spark):
     assert kept.columns == frame.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
     assert line_windows.drop_emptied(frame.limit(0)).collect() == []
+
+
+def test_windows_are_not_broadcast(spark, tmp_path):
+    """Texts of a file under the broadcast limit make rows for all their lines."""
+    draw = random.Random(3)
+    lines = [f"line {i}" for i in range(40)]
+    rows = [(i, "\n".join(draw.choices(lines, k=30))) for i in range(50)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    found = line_windows.covered(spark.read.parquet(f"{tmp_path}/docs"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
